@@ -40,22 +40,74 @@ class Transformer(Estimator, Model):
 
 
 class ParamTable:
-    """A fitted lookup table, persisted once and with a known row count."""
+    """A fitted lookup table, persisted once and with a known row count.
+
+    Tables of at most ``INLINE_MAX_ROWS`` rows are folded into the projection
+    as literal maps (no join stage at all); up to ``max_broadcast_rows`` they
+    are broadcast-hash-joined; above that they are shuffle-joined (AQE may
+    re-plan and split skewed partitions).
+    """
+
+    INLINE_MAX_ROWS = 64
 
     def __init__(self, df: DataFrame, keys: Sequence[str]):
         self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
         self.keys = list(keys)
         self.rows = self.df.count()
+        self.inline = self.df.collect() if self.rows <= self.INLINE_MAX_ROWS else None
+
+    @property
+    def value_columns(self) -> list[str]:
+        return [c for c in self.df.columns if c not in self.keys]
+
+    def _inline_lookup(self, df: DataFrame) -> DataFrame:
+        types = {f.name: f.dataType for f in self.df.schema.fields}
+        if len(self.keys) == 1:
+            k = self.keys[0]
+            key_arr = F.array(*[F.lit(r[k]).cast(types[k]) for r in self.inline])
+            probe = F.col(k)
+        else:
+            key_arr = F.array(*[F.struct(*[F.lit(r[k]).cast(types[k]).alias(k) for k in self.keys])
+                                for r in self.inline])
+            probe = F.struct(*[F.col(k).alias(k) for k in self.keys])
+        new = []
+        for v in self.value_columns:
+            vals = F.array(*[F.lit(r[v]).cast(types[v]) for r in self.inline])
+            if not self.inline:
+                new.append(F.lit(None).cast(types[v]).alias(v))
+            else:
+                new.append(F.map_from_arrays(key_arr, vals)[probe].alias(v))
+        return df.select("*", *new)
 
     def lookup(self, df: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-        """Left-join the parameters onto ``df`` by key (null keys find nothing)."""
+        """Left-lookup the parameters onto ``df`` by key (null keys find nothing)."""
+        if self.inline is not None:
+            return self._inline_lookup(df)
         side = F.broadcast(self.df) if self.rows <= max_broadcast_rows else self.df
         return df.join(side, on=self.keys, how="left")
 
+    def renamed(self, mapping: dict) -> "ParamTable":
+        """The same persisted table with value columns renamed (no recount)."""
+        t = ParamTable.__new__(ParamTable)
+        df = self.df
+        for a, b in mapping.items():
+            df = df.withColumnRenamed(a, b)
+        t.df, t.keys, t.rows = df, self.keys, self.rows
+        t.inline = None
+        if self.inline is not None:
+            t.inline = [_rename_row(r, mapping) for r in self.inline]
+        return t
+
     def unpersist(self) -> None:
         self.df.unpersist()
 
 
+def _rename_row(r, mapping):
+    from pyspark.sql import Row
+    d = r.asDict()
+    return Row(**{mapping.get(k, k): v for k, v in d.items()})
+
+
 def present(df: DataFrame, cols: Sequence[str]) -> list[str]:
     """The subset of ``cols`` that exist in ``df`` (in the given order)."""
     have = set(df.columns)
@@ -80,7 +132,7 @@ class Chain(Estimator):
     the previous fitted steps (I7 semantics). ``materialize`` cuts lineage of
     the intermediate frame once per fit when steps need several passes."""
 
-    def __init__(self, steps: Sequence[Estimator], materialize: str = "none"):
+    def __init__(self, steps: Sequence[Estimator], materialize: str = "persist"):
         self.steps = list(steps)
         self.materialize = materialize
 

@@ -1 +1,97 @@
 """Registered queries: imputation (I*), outliers and scaling (O*, A*), encoding (E*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kiln.operators import impute as I
+from kiln.operators.base import Chain
+from kiln.plans import sqlparts as Q
+from kiln.plans.catalog_prep import featured
+from kiln.plans.registry import register
+from kiln.sources.fixtures import LISTINGS_SQL, listings
+
+B = Q.BASE
+IMPUTED_COLS = "listing_id, engine_hp, engine_displacement, fuel_type"
+
+
+def imputed(spark, sf):
+    """Featured listings through the default sequential-fit imputation chain."""
+    f = featured(spark, sf)
+    return Chain(I.default_imputers()).fit(f).transform(f)
+
+
+# ------------------------------------------------------------------ I1-I9
+
+@register("impute_group_median", Q.with_ctes(*B, Q.IMPUTE_SQL[0], body="SELECT listing_id, engine_hp FROM imp1"))
+def impute_group_median(spark, sf):
+    """engine_hp filled by brand median, then global median."""
+    f = featured(spark, sf)
+    return I.GroupMedianImputer("engine_hp", ("brand",)).fit(f).transform(f).select("listing_id", "engine_hp")
+
+
+@register("impute_rule_ev", Q.with_ctes(*B, f"ev AS ({Q.ev_rule('features')})", body="""
+SELECT listing_id, engine_displacement, fuel_type FROM ev"""))
+def impute_rule_ev(spark, sf):
+    """EV brands get displacement 0.0 / fuel ``Electric`` where missing."""
+    return I.EVRuleImputer().transform(featured(spark, sf)).select(
+        "listing_id", "engine_displacement", "fuel_type")
+
+
+@register("impute_two_key_median", Q.with_ctes(*B, *Q.IMPUTE_SQL[:3], body="""
+SELECT listing_id, engine_displacement FROM imp3"""))
+def impute_two_key_median(spark, sf):
+    """I3 (after I1, I2): displacement by (brand, engine_hp) median, then global median."""
+    f = featured(spark, sf)
+    pre = Chain(I.default_imputers()[:2]).fit(f).transform(f)
+    m = I.GroupMedianImputer("engine_displacement", ("brand", "engine_hp")).fit(pre)
+    return m.transform(pre).select("listing_id", "engine_displacement")
+
+
+@register("impute_group_mode", Q.with_ctes(*B, f"m AS ({Q.group_mode_fill('features', 'fuel_type', 'brand', 'Gasoline')})",
+                                           body="SELECT listing_id, fuel_type FROM m"))
+def impute_group_mode(spark, sf):
+    """I4: fuel_type by brand mode, then global mode, then ``Gasoline``."""
+    f = featured(spark, sf)
+    return I.GroupModeImputer("fuel_type", ("brand",)).fit(f).transform(f).select("listing_id", "fuel_type")
+
+
+@register("quantile_bin", Q.with_ctes(*B, body=f"""
+SELECT listing_id, {Q.bin_expr('f.engine_hp', 'x.e')} AS engine_hp_bin
+FROM features f, (SELECT list_sort(list_distinct(quantile_cont(engine_hp, {Q.QS15}))) AS e FROM features) x"""))
+def quantile_bin(spark, sf):
+    """15 quantile bins of engine_hp (right-closed, lowest included, outside -> null)."""
+    f = featured(spark, sf)
+    return I.QuantileBinner("engine_hp", 15).fit(f).transform(f).select("listing_id", "engine_hp_bin")
+
+
+@register("impute_tiered_bins", Q.with_ctes(*B, *Q.tiered_ctes("features", "tb"), body="""
+SELECT listing_id, engine_displacement FROM tb"""))
+def impute_tiered_bins(spark, sf):
+    """I6 on its own: EV rule, (brand, hp bin) median, hp bin median, global median."""
+    f = featured(spark, sf)
+    return I.TieredBinImputer().fit(f).transform(f).select("listing_id", "engine_displacement")
+
+
+@register("impute_all", Q.with_ctes(*B, *Q.IMPUTE_SQL, body="SELECT * FROM imputed"))
+def impute_all(spark, sf):
+    """The default chain with sequential fit; returns every column."""
+    return imputed(spark, sf)
+
+
+@register("impute_constant", Q.with_ctes(LISTINGS_SQL, body=f"""
+SELECT listing_id, coalesce(fuel_type, {Q.mode_of('listings', 'fuel_type')}) AS fuel_type,
+  coalesce(accident, 'None reported') AS accident, coalesce(clean_title, 'No') AS clean_title
+FROM listings"""))
+def impute_constant(spark, sf):
+    """I8: declared fills: fuel_type with its mode, accident/clean_title with constants."""
+    raw = listings(spark, sf)
+    return I.ConstantImputer().fit(raw).transform(raw).select("listing_id", "fuel_type", "accident", "clean_title")
+
+
+@register("window_group_fill", Q.with_ctes(*B, f"w AS ({Q.group_median_fill('features', 'engine_displacement', ['brand', 'engine_hp'])})",
+                                           body="SELECT listing_id, engine_displacement FROM w"))
+def window_group_fill(spark, sf):
+    """Same-table grouped fill of displacement by (brand, engine_hp), then global median."""
+    return I.grouped_fill(featured(spark, sf), "engine_displacement", ["brand", "engine_hp"]).select(
+        "listing_id", "engine_displacement")

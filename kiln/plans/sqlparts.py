@@ -124,3 +124,73 @@ BASE = [LISTINGS_SQL, CLEANED_SQL, NORM_SQL, FEATURES_SQL]
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
+
+
+# ---------------------------------------------------------------- imputation
+
+EV_SQL = "coalesce(lower(trim({b})) IN ('tesla', 'rivian', 'lucid', 'polestar'), false)"
+QS15 = "[" + ", ".join(repr(i / 15) for i in range(16)) + "]"
+
+
+def group_median_fill(src: str, target: str, keys: list[str]) -> str:
+    """SELECT over ``src`` with ``target`` filled by group median then global median."""
+    on = " AND ".join(f"s.{k} = g.{k}" for k in keys)
+    notnull = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    ks = ", ".join(keys)
+    return (f"SELECT s.* REPLACE (coalesce(s.{target}, g._m, (SELECT median({target}) FROM {src})) AS {target}) "
+            f"FROM {src} s LEFT JOIN (SELECT {ks}, median({target}) AS _m FROM {src} WHERE {notnull} "
+            f"GROUP BY {ks}) g ON {on}")
+
+
+def group_mode_fill(src: str, target: str, key: str, default: str) -> str:
+    ranked = (f"SELECT {key}, {target} AS v, row_number() OVER (PARTITION BY {key} ORDER BY count(*) DESC, "
+              f"{target}) AS rn FROM {src} WHERE {key} IS NOT NULL AND {target} IS NOT NULL GROUP BY {key}, {target}")
+    return (f"SELECT s.* REPLACE (coalesce(s.{target}, g.v, {mode_of(src, target)}, '{default}') AS {target}) "
+            f"FROM {src} s LEFT JOIN (SELECT {key}, v FROM ({ranked}) WHERE rn = 1) g ON s.{key} = g.{key}")
+
+
+def ev_rule(src: str, fuel: bool = True) -> str:
+    ev = EV_SQL.format(b="brand")
+    rep = [f"CASE WHEN {ev} AND engine_displacement IS NULL THEN 0.0 ELSE engine_displacement END AS engine_displacement"]
+    if fuel:
+        rep.append(f"CASE WHEN {ev} AND fuel_type IS NULL THEN 'Electric' ELSE fuel_type END AS fuel_type")
+    return f"SELECT * REPLACE ({', '.join(rep)}) FROM {src}"
+
+
+def bin_expr(x: str, e: str) -> str:
+    return (f"CASE WHEN {x} IS NULL OR {x} < {e}[1] OR {x} > {e}[len({e})] THEN NULL "
+            f"WHEN {x} = {e}[1] THEN 0 ELSE len(list_filter({e}, lambda v: v < {x})) - 1 END")
+
+
+def tiered_bins(src: str, name: str) -> list[str]:
+    """CTEs ending in ``name``: I6 on ``src`` (EV rule, brand+bin, bin, global)."""
+    e = f"{name}_e"
+    return [
+        f"{e} AS (SELECT list_sort(list_distinct(quantile_cont(engine_hp, {QS15}))) AS e FROM {src})",
+        f"{name}_ev AS ({ev_rule(src, fuel=False)})",
+        f"{name}_b AS (SELECT s.*, {bin_expr('s.engine_hp', 'x.e')} AS _bin FROM {name}_ev s, {e} x)",
+        f"""{name} AS (
+  SELECT s.* EXCLUDE (_bin) REPLACE (coalesce(s.engine_displacement, kb._m, b._m,
+      (SELECT median(engine_displacement) FROM {src})) AS engine_displacement)
+  FROM {name}_b s
+  LEFT JOIN (SELECT brand, _bin, median(engine_displacement) AS _m FROM {name}_b0
+             WHERE brand IS NOT NULL AND _bin IS NOT NULL GROUP BY brand, _bin) kb
+    ON s.brand = kb.brand AND s._bin = kb._bin
+  LEFT JOIN (SELECT _bin, median(engine_displacement) AS _m FROM {name}_b0 WHERE _bin IS NOT NULL
+             GROUP BY _bin) b ON s._bin = b._bin)""",
+        f"{name}_b0 AS (SELECT s.*, {bin_expr('s.engine_hp', 'x.e')} AS _bin FROM {src} s, {e} x)",
+    ]
+
+
+def tiered_ctes(src: str, name: str) -> list[str]:
+    c = tiered_bins(src, name)
+    return [c[0], c[4], c[1], c[2], c[3]]
+
+
+IMPUTE_SQL = [
+    f"imp1 AS ({group_median_fill('features', 'engine_hp', ['brand'])})",
+    f"imp2 AS ({ev_rule('imp1')})",
+    f"imp3 AS ({group_median_fill('imp2', 'engine_displacement', ['brand', 'engine_hp'])})",
+    f"imp4 AS ({group_mode_fill('imp3', 'fuel_type', 'brand', 'Gasoline')})",
+    *tiered_ctes("imp4", "imputed"),
+]
