@@ -95,3 +95,147 @@ def window_group_fill(spark, sf):
     """Same-table grouped fill of displacement by (brand, engine_hp), then global median."""
     return I.grouped_fill(featured(spark, sf), "engine_displacement", ["brand", "engine_hp"]).select(
         "listing_id", "engine_displacement")
+
+
+# ------------------------------------------------------------------ O1-O7, A1-A4
+
+from kiln.operators import outliers as O  # noqa: E402
+from kiln.operators.scale import Scaler  # noqa: E402
+from kiln.plans.catalog_prep import cleaned  # noqa: E402
+from kiln.session import table  # noqa: E402
+
+LI_COLS = ["gross", "l_extendedprice", "l_quantity", "l_discount"]
+
+
+def lineitem_gross(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        (F.col("l_extendedprice") * F.col("l_quantity")).alias("gross"))
+
+
+LI_SQL = ("li AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+          "l_extendedprice * l_quantity AS gross FROM lineitem)")
+
+
+def _bounds_sql(src, cols):
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS column_name,
+  quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS lower_bound,
+  quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) AS upper_bound
+FROM {src}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("iqr_bounds", Q.with_ctes(LI_SQL, body=_bounds_sql("li", LI_COLS)))
+def iqr_bounds(spark, sf):
+    """O1: IQR fences (q1 - 1.5 iqr, q3 + 1.5 iqr) for four lineitem measures, one aggregation."""
+    df = lineitem_gross(spark, sf)
+    wide = df.agg(*[O.quartile_agg(c).alias(c) for c in LI_COLS])
+    stack = ", ".join(f"'{c}', `{c}`" for c in LI_COLS)
+    long = wide.selectExpr(f"stack({len(LI_COLS)}, {stack}) AS (column_name, q)")
+    iqr = F.col("q")[1] - F.col("q")[0]
+    return long.select("column_name", (F.col("q")[0] - 1.5 * iqr).alias("lower_bound"),
+                       (F.col("q")[1] + 1.5 * iqr).alias("upper_bound"))
+
+
+@register("iqr_clip", Q.with_ctes(LI_SQL, f"b AS ({_bounds_sql('li', ['gross'])})", body="""
+SELECT l_orderkey, l_linenumber, CASE WHEN gross IS NULL THEN NULL
+  ELSE greatest(least(gross, b.upper_bound), b.lower_bound) END AS gross
+FROM li, b"""))
+def iqr_clip(spark, sf):
+    """O2: gross line value clipped to its IQR fences."""
+    df = lineitem_gross(spark, sf)
+    return O.IQRClipper(["gross"]).fit(df).transform(df).select("l_orderkey", "l_linenumber", "gross")
+
+
+@register("log1p_transform", Q.with_ctes(LISTINGS_SQL, Q.CLEANED_SQL, body="""
+SELECT listing_id, ln(1 + price_usd) AS price_usd, ln(1 + mileage_num) AS mileage_num FROM cleaned"""))
+def log1p_transform(spark, sf):
+    """O3: log1p of price and mileage."""
+    return O.Log1p().transform(cleaned(spark, sf)).select("listing_id", "price_usd", "mileage_num")
+
+
+@register("expm1_inverse", Q.with_ctes(LISTINGS_SQL, Q.CLEANED_SQL, body="""
+SELECT listing_id, round(exp(ln(1 + price_usd)) - 1, 2) AS price FROM cleaned"""))
+def expm1_inverse(spark, sf):
+    """expm1 undoes log1p; the round trip of every price, in cents."""
+    logged = O.Log1p(["price_usd"]).transform(cleaned(spark, sf))
+    back = O.Expm1(["price_usd"]).transform(logged)
+    return back.select("listing_id", F.round("price_usd", 2).alias("price"))
+
+
+@register("outliers_all", Q.with_ctes(*B, *Q.IMPUTE_SQL, f"b AS ({_bounds_sql('imputed', ['engine_hp', 'engine_displacement'])})", body="""
+SELECT listing_id, ln(1 + price_usd) AS price_usd, ln(1 + mileage_num) AS mileage_num,
+  greatest(least(engine_hp, (SELECT upper_bound FROM b WHERE column_name = 'engine_hp')),
+           (SELECT lower_bound FROM b WHERE column_name = 'engine_hp')) AS engine_hp,
+  greatest(least(engine_displacement, (SELECT upper_bound FROM b WHERE column_name = 'engine_displacement')),
+           (SELECT lower_bound FROM b WHERE column_name = 'engine_displacement')) AS engine_displacement
+FROM imputed"""))
+def outliers_all(spark, sf):
+    """log1p(price, mileage) then IQR clip (hp, displacement) on the imputed listings."""
+    df = imputed(spark, sf)
+    return O.OutlierHandler().fit(df).transform(df).select(
+        "listing_id", "price_usd", "mileage_num", "engine_hp", "engine_displacement")
+
+
+def _report_sql(src, cols):
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} < lo OR {c} > hi) AS BIGINT) AS n_outliers,
+  count(*) FILTER (WHERE {c} < lo OR {c} > hi) * 100.0 / count(*) AS pct_outliers, lo AS lower_bound, hi AS upper_bound
+FROM {src}, (SELECT lower_bound AS lo, upper_bound AS hi FROM bnds WHERE column_name = '{c}') GROUP BY lo, hi""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("outlier_report", Q.with_ctes(LI_SQL, f"bnds AS ({_bounds_sql('li', LI_COLS)})", body=_report_sql("li", LI_COLS)))
+def outlier_report(spark, sf):
+    """Count and percent of rows outside the IQR fences per lineitem measure."""
+    return O.outlier_report(lineitem_gross(spark, sf), LI_COLS)
+
+
+@register("row_cap", Q.with_ctes(LISTINGS_SQL, Q.CLEANED_SQL, body="""
+SELECT listing_id, price_usd, mileage_num FROM cleaned
+WHERE coalesce(price_usd >= 1000, true) AND coalesce(price_usd <= 500000, true)
+  AND coalesce(mileage_num <= 500000, true)"""))
+def row_cap(spark, sf):
+    """Declared price (1 000-500 000) and mileage (<= 500 000) range filter."""
+    return O.RangeFilter().transform(cleaned(spark, sf)).select("listing_id", "price_usd", "mileage_num")
+
+
+SC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _scale_sql(kind):
+    outs = []
+    for c in SC_COLS:
+        if kind == "standard":
+            outs.append(f"({c} - (SELECT avg({c}) FROM lineitem)) / coalesce(nullif((SELECT stddev_pop({c}) FROM lineitem), 0), 1) AS {c}")
+        elif kind == "robust":
+            outs.append(f"({c} - (SELECT quantile_cont({c}, 0.5) FROM lineitem)) / coalesce(nullif((SELECT quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) FROM lineitem), 0), 1) AS {c}")
+        else:
+            outs.append(f"({c} - (SELECT min({c}) FROM lineitem)) / coalesce(nullif((SELECT max({c}) - min({c}) FROM lineitem), 0), 1) AS {c}")
+    return "SELECT l_orderkey, l_linenumber, " + ", ".join(outs) + " FROM lineitem"
+
+
+def _scaled(spark, sf, kind):
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *SC_COLS)
+    return Scaler(SC_COLS, kind).fit(df).transform(df)
+
+
+@register("scale_standard", _scale_sql("standard"))
+def scale_standard(spark, sf):
+    """A1: (x - mean) / population std (0 -> 1) on four lineitem measures."""
+    return _scaled(spark, sf, "standard")
+
+
+@register("scale_robust", _scale_sql("robust"))
+def scale_robust(spark, sf):
+    """A2: (x - median) / IQR (0 -> 1)."""
+    return _scaled(spark, sf, "robust")
+
+
+@register("scale_minmax", _scale_sql("minmax"))
+def scale_minmax(spark, sf):
+    """A3: (x - min) / (max - min) (0 -> 1)."""
+    return _scaled(spark, sf, "minmax")
