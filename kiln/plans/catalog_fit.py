@@ -239,3 +239,111 @@ def scale_robust(spark, sf):
 def scale_minmax(spark, sf):
     """A3: (x - min) / (max - min) (0 -> 1)."""
     return _scaled(spark, sf, "minmax")
+
+
+# ------------------------------------------------------------------ E1-E9
+
+from kiln.operators import encode as E  # noqa: E402
+
+NUMERIC_FEATURES = ["brand", "model_year", "accident", "price_usd", "mileage_num", "has_clean_title",
+                    "is_sport", "is_premium", "is_4WD_AWD", "engine_hp", "engine_displacement"]
+EXPECTED = ["brand", "model_year", "mileage_num", "engine_hp", "engine_displacement", "fuel_type_Diesel",
+            "fuel_type_Electric", "transmission_type_Manual", "int_col_Navy", "ext_col_Red", "ext_col_Purple"]
+P = Q.PREP
+
+
+def prepared(spark, sf):
+    """Imputed listings after the default outlier step (log1p price/mileage, IQR clip)."""
+    df = imputed(spark, sf)
+    return O.OutlierHandler().fit(df).transform(df)
+
+
+def to_long(df, key, cols):
+    """Unpivot ``cols`` to (key, feature, value double)."""
+    return df.unpivot([key], [F.col(c).cast("double").alias(c) for c in cols], "feature", "value")
+
+
+@register("one_hot", Q.with_ctes(*P, body=Q.onehot_long("prepared")))
+def one_hot(spark, sf):
+    """Drop-first one-hot of fuel/transmission/colours (null own category), as long rows."""
+    df = prepared(spark, sf)
+    m = E.OneHotEncoder().fit(df)
+    return to_long(m.transform(df), "listing_id", m.feature_names)
+
+
+@register("target_encode", Q.with_ctes(*P, Q.TE_SQL, body="""
+SELECT s.listing_id, coalesce(t.enc, (SELECT p FROM te_prior)) AS brand
+FROM prepared s LEFT JOIN te_map t ON s.brand = t.brand"""))
+def target_encode(spark, sf):
+    """Smoothed brand encoding of log-price fitted on all rows; unseen/null -> prior."""
+    df = prepared(spark, sf)
+    return E.TargetEncoder().fit(df).transform(df).select("listing_id", "brand")
+
+
+@register("target_encode_oof", Q.with_ctes(*P, Q.OOF_SQL, body="SELECT listing_id, brand FROM oof"))
+def target_encode_oof(spark, sf):
+    """5-fold out-of-fold brand encoding in one aggregation pass."""
+    return E.TargetEncoder().oof_transform(prepared(spark, sf)).select("listing_id", "brand")
+
+
+def _numeric_long(src):
+    return "\nUNION ALL\n".join(
+        f"SELECT listing_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {src}" for c in NUMERIC_FEATURES)
+
+
+@register("encode_all", Q.with_ctes(*P, Q.OOF_SQL, body=_numeric_long("oof") + "\nUNION ALL\n" + Q.onehot_long("oof")))
+def encode_all(spark, sf):
+    """E4 training path: one-hot then out-of-fold target encoding; the whole matrix as long rows."""
+    out = E.CategoricalEncoder().fit_transform(prepared(spark, sf))
+    return to_long(out, "listing_id", [c for c in out.columns if c != "listing_id"])
+
+
+@register("frequency_encode", """
+SELECT l_orderkey, l_linenumber, l_partkey,
+  count(*) OVER (PARTITION BY l_partkey) / (SELECT count(*) FROM lineitem) AS l_partkey_freq
+FROM lineitem""")
+def frequency_encode(spark, sf):
+    """E5: high-cardinality (> 50 distinct) columns -> share of rows (lineitem part key)."""
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return E.FrequencyEncoder(["l_partkey"], 50).fit(df).transform(df)
+
+
+def _align_sql():
+    outs = []
+    for c in EXPECTED:
+        if c == "brand":
+            outs.append("coalesce(t.enc, (SELECT p FROM te_prior)) AS brand")
+        elif c in NUMERIC_FEATURES:
+            outs.append(f"s.{c}")
+        else:
+            col = next(o for o in Q.ONEHOT_COLS if c.startswith(o + "_"))
+            v = c[len(col) + 1:]
+            outs.append(f"CASE WHEN EXISTS (SELECT 1 FROM prepared WHERE {col} = '{v}') "
+                        f"AND '{v}' <> (SELECT min({col}) FROM prepared) "
+                        f"THEN CAST(coalesce(s.{col} = '{v}', false) AS DOUBLE) ELSE 0.0 END AS {c}")
+    return "SELECT s.listing_id, " + ", ".join(outs) + " FROM prepared s LEFT JOIN te_map t ON s.brand = t.brand"
+
+
+@register("align_features", Q.with_ctes(*P, Q.TE_SQL, body=_align_sql()))
+def align_features(spark, sf):
+    """Scoring-path encoding aligned to a fixed expected feature list (missing -> 0.0)."""
+    df = prepared(spark, sf)
+    enc = E.CategoricalEncoder().fit(df).transform(df)
+    return E.align_features(enc, EXPECTED, keep=["listing_id"])
+
+
+META_SQL = """SELECT 'brand' AS "column", brand AS category, enc AS value FROM te_map
+UNION ALL SELECT 'brand', '__global_fallback__', p FROM te_prior"""
+
+
+@register("encoding_metadata", Q.with_ctes(*P, Q.TE_SQL, body=META_SQL))
+def encoding_metadata(spark, sf):
+    """(column, category, value) rows of the fitted target encoding plus the fallback row."""
+    return E.TargetEncoder().fit(prepared(spark, sf)).metadata()
+
+
+@register("known_categories", Q.with_ctes(*P, Q.TE_SQL, f"meta AS ({META_SQL})", body="""
+SELECT category FROM meta WHERE "column" = 'brand' AND category <> '__global_fallback__' ORDER BY category"""))
+def known_categories(spark, sf):
+    """Sorted known brands from the metadata, fallback row excluded."""
+    return E.known_categories(E.TargetEncoder().fit(prepared(spark, sf)).metadata())

@@ -194,3 +194,66 @@ IMPUTE_SQL = [
     f"imp4 AS ({group_mode_fill('imp3', 'fuel_type', 'brand', 'Gasoline')})",
     *tiered_ctes("imp4", "imputed"),
 ]
+
+
+# ---------------------------------------------------------------- outliers + encoding
+
+def _fence(c: str, side: str) -> str:
+    q1, q3 = f"quantile_cont({c}, 0.25)", f"quantile_cont({c}, 0.75)"
+    expr = f"{q1} - 1.5 * ({q3} - {q1})" if side == "lo" else f"{q3} + 1.5 * ({q3} - {q1})"
+    return f"(SELECT {expr} FROM imputed)"
+
+
+PREPARED_SQL = f"""
+prepared AS (
+  SELECT * REPLACE (ln(1 + price_usd) AS price_usd, ln(1 + mileage_num) AS mileage_num,
+    greatest(least(engine_hp, {_fence('engine_hp', 'hi')}), {_fence('engine_hp', 'lo')}) AS engine_hp,
+    greatest(least(engine_displacement, {_fence('engine_displacement', 'hi')}), {_fence('engine_displacement', 'lo')})
+      AS engine_displacement)
+  FROM imputed
+)"""
+
+PREP = [*BASE, *IMPUTE_SQL, PREPARED_SQL]
+
+
+def hash32_sql(k: str) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8)) AS BIGINT)"
+
+
+def lam(n: str) -> str:
+    return f"(1.0 / (1.0 + exp(-({n} - 20.0) / 10.0)))"
+
+
+ONEHOT_COLS = ["fuel_type", "transmission_type", "int_col", "ext_col"]
+
+
+def onehot_long(src: str, keep_first: bool = False) -> str:
+    """(listing_id, feature, value) rows of the drop-first one-hot matrix of ``src``."""
+    parts = []
+    for c in ONEHOT_COLS:
+        cats = (f"SELECT v, name || CASE WHEN dup > 1 THEN '_' || dup ELSE '' END AS name FROM ("
+                f"SELECT v, name, row_number() OVER (PARTITION BY lower(name) ORDER BY rn) AS dup FROM ("
+                f"SELECT v, rn, '{c}_' || coalesce(v, 'null') AS name FROM ("
+                f"SELECT v, row_number() OVER (ORDER BY v NULLS LAST) AS rn FROM (SELECT DISTINCT {c} AS v FROM {src})) "
+                f"WHERE rn > {0 if keep_first else 1}))")
+        parts.append(f"""SELECT s.listing_id, k.name AS feature,
+    CASE WHEN k.v IS NULL THEN CAST(s.{c} IS NULL AS DOUBLE) ELSE CAST(coalesce(s.{c} = k.v, false) AS DOUBLE) END AS value
+  FROM {src} s, ({cats}) k""")
+    return "\nUNION ALL\n".join(parts)
+
+
+TE_SQL = f"""
+te_prior AS (SELECT avg(price_usd) AS p FROM prepared),
+te_stats AS (SELECT brand, count(price_usd) AS n, avg(price_usd) AS m FROM prepared WHERE brand IS NOT NULL GROUP BY brand),
+te_map AS (SELECT brand, coalesce(te_prior.p * (1 - {lam('n')}) + m * {lam('n')}, te_prior.p) AS enc FROM te_stats, te_prior)"""
+
+OOF_SQL = f"""
+pf AS (SELECT *, CAST({hash32_sql('listing_id')} % 5 AS INTEGER) AS _fold FROM prepared),
+ft AS (SELECT _fold, count(price_usd) AS n, sum(price_usd) AS s FROM pf GROUP BY _fold),
+fp AS (SELECT ft._fold, (t.s - ft.s) / (t.n - ft.n) AS prior FROM ft, (SELECT sum(n) AS n, sum(s) AS s FROM ft) t),
+bf AS (SELECT brand, _fold, count(price_usd) AS nf, sum(price_usd) AS sf FROM pf WHERE brand IS NOT NULL GROUP BY brand, _fold),
+bo AS (SELECT brand, _fold, sum(nf) OVER (PARTITION BY brand) - nf AS n,
+              coalesce(sum(sf) OVER (PARTITION BY brand), 0) - coalesce(sf, 0) AS s FROM bf),
+oof AS (SELECT pf.* REPLACE (coalesce(CASE WHEN bo.n > 0 THEN fp.prior * (1 - {lam('bo.n')}) + (bo.s / bo.n) * {lam('bo.n')} END,
+                                      fp.prior) AS brand)
+        FROM pf JOIN fp ON pf._fold = fp._fold LEFT JOIN bo ON pf.brand = bo.brand AND pf._fold = bo._fold)"""
