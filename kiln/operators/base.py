@@ -9,6 +9,7 @@ checked before they are broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -145,12 +146,12 @@ class Chain(Estimator):
             m = step.fit(cur)
             models.append(m)
             cur = m.transform(cur)
-        return ChainModel(models)
+        return ChainModel(list(models))
 
 
+@dataclass
 class ChainModel(Model):
-    def __init__(self, models: Sequence[Model]):
-        self.models = list(models)
+    models: list
 
     def transform(self, df: DataFrame) -> DataFrame:
         for m in self.models:
