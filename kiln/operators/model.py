@@ -50,8 +50,12 @@ class LinearTrainer:
         return Pipeline(stages=[assembler, est]).fit(clean)
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None,
+            prediction: str = "prediction") -> DataFrame:
+    """Apply a fitted model; rows with a missing feature get a null prediction
+    (the assembler would otherwise carry NaN into every metric)."""
     out = model.transform(df).drop("_features")
+    out = out.withColumn(prediction, F.nanvl(F.col(prediction), F.lit(None).cast("double")))
     return out if keep is None else out.select(*keep)
 
 
@@ -104,7 +108,7 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, model_name: s
 def quality_gate(metrics: DataFrame, min_r2: float = R.MIN_R2) -> DataFrame:
     """M8: passes when r2 >= min_r2 (fails below)."""
     return metrics.select("model", "r2", F.lit(float(min_r2)).alias("min_r2"),
-                          (F.col("r2") >= F.lit(float(min_r2))).alias("passed"))
+                          F.coalesce(F.col("r2") >= F.lit(float(min_r2)), F.lit(False)).alias("passed"))
 
 
 def champion_challenger(df: DataFrame, label: str, p_new: str, p_old: str | None,
@@ -124,7 +128,7 @@ def champion_challenger(df: DataFrame, label: str, p_new: str, p_old: str | None
     r2_old = _r2(F.col("_sse_old"), F.col("_sst_old")) if p_old is not None else F.lit(None).cast("double")
     r2_old = F.coalesce(r2_old, F.lit(0.0))
     return agg.select(r2_new.alias("r2_new"), r2_old.alias("r2_old"), (r2_new - r2_old).alias("difference"),
-                      ((r2_new - r2_old) > F.lit(float(min_improvement))).alias("accepted"))
+                      F.coalesce((r2_new - r2_old) > F.lit(float(min_improvement)), F.lit(False)).alias("accepted"))
 
 
 def format_currency(c: Column) -> Column:

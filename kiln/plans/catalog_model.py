@@ -3,7 +3,6 @@ models and gates (M*), flows (D*), streaming (ST1) and custom steps (U1)."""
 
 from __future__ import annotations
 
-import math
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from kiln.operators import model as M
 from kiln.operators import split as P
 from kiln.operators import validate as V
 from kiln.plans import sqlparts as Q
-from kiln.plans.catalog_fit import EXPECTED, _numeric_long, to_long
+from kiln.plans.catalog_fit import _numeric_long, to_long
 from kiln.plans.catalog_prep import cleaned, featured
 from kiln.plans.pipeline import CustomStep, Preprocessor, run_training
 from kiln.plans.registry import register
@@ -396,5 +395,6 @@ def entry_flow(spark, sf):
     res, _ = trained(spark, sf)
     d = res.decision.first()  # one-row aggregate
     m = res.metrics
-    return m.select("*", F.lit(R.MIN_R2).alias("min_r2"), (F.col("r2") >= F.lit(R.MIN_R2)).alias("passed"),
+    return m.select("*", F.lit(R.MIN_R2).alias("min_r2"),
+                    F.coalesce(F.col("r2") >= F.lit(R.MIN_R2), F.lit(False)).alias("passed"),
                     F.lit(d["r2_old"]).alias("r2_old"), F.lit(d["accepted"]).alias("accepted"))

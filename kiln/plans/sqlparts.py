@@ -107,8 +107,8 @@ features AS (
     coalesce(fuel_type, {fuel_case('n_eng')}) AS fuel_type,
     coalesce({color_case('n_ext')}, {mode_of('normed', 'n_ext')}) AS ext_col,
     coalesce({color_case('n_int')}, {mode_of('normed', 'n_int')}) AS int_col,
-    CASE accident WHEN 'no accidents' THEN 0.0 WHEN 'At least 1 accident or damage reported' THEN 1.0
-         ELSE 0.0 END AS accident,
+    CAST(CASE accident WHEN 'no accidents' THEN 0 WHEN 'At least 1 accident or damage reported' THEN 1
+         ELSE 0 END AS DOUBLE) AS accident,
     price_usd, mileage_num, has_clean_title,
     CAST({ci('model', 'Sport|S-Line|M Sport')} AS INTEGER) AS is_sport,
     CAST({ci('model', 'Premium|Platinum|Limited')} AS INTEGER) AS is_premium,
