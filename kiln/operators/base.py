@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 # Parameter tables at or below this many rows are broadcast to every task;
@@ -41,21 +41,42 @@ class Transformer(Estimator, Model):
 
 
 class ParamTable:
-    """A fitted lookup table, persisted once and with a known row count.
-
-    Tables of at most ``INLINE_MAX_ROWS`` rows are folded into the projection
-    as literal maps (no join stage at all); up to ``max_broadcast_rows`` they
-    are broadcast-hash-joined; above that they are shuffle-joined (AQE may
-    re-plan and split skewed partitions).
+    """A fitted lookup table with a known row count.
+
+    Fitting collects at most ``COLLECT_MAX_ROWS + 1`` rows in one job: a table
+    that fits is kept as driver-side rows (a local relation, broadcast without
+    recomputation), and at most ``INLINE_MAX_ROWS`` rows are folded into the
+    projection as literal maps (no join stage at all). A larger table stays
+    distributed (persisted, counted) and is broadcast up to
+    ``max_broadcast_rows`` or shuffle-joined beyond (AQE may split skew).
     """
 
     INLINE_MAX_ROWS = 64
+    COLLECT_MAX_ROWS = 10_000
 
-    def __init__(self, df: DataFrame, keys: Sequence[str]):
-        self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    def __init__(self, df: DataFrame, keys: Sequence[str], rows: list | None = None):
         self.keys = list(keys)
-        self.rows = self.df.count()
-        self.inline = self.df.collect() if self.rows <= self.INLINE_MAX_ROWS else None
+        if rows is None:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            head = df.limit(self.COLLECT_MAX_ROWS + 1).collect()
+            if len(head) <= self.COLLECT_MAX_ROWS:
+                df.unpersist()
+                rows = head
+        if rows is not None:
+            names = df.columns
+            self.local = [r if isinstance(r, Row) else Row(**dict(zip(names, r))) for r in rows]
+            self.rows = len(self.local)
+            self.df = df.sparkSession.createDataFrame(self.local, df.schema)
+        else:
+            self.local = None
+            self.df = df
+            self.rows = df.count()
+        self.inline = self.local if self.rows <= self.INLINE_MAX_ROWS else None
+
+    @classmethod
+    def from_rows(cls, spark, rows: list, schema, keys: Sequence[str]) -> "ParamTable":
+        """A table whose (size-checked) rows are already on the driver."""
+        return cls(spark.createDataFrame(rows, schema), keys, rows=rows)
 
     @property
     def value_columns(self) -> list[str]:
@@ -88,15 +109,14 @@ class ParamTable:
         return df.join(side, on=self.keys, how="left")
 
     def renamed(self, mapping: dict) -> "ParamTable":
-        """The same persisted table with value columns renamed (no recount)."""
+        """The same table with value columns renamed (no job, no recount)."""
         t = ParamTable.__new__(ParamTable)
         df = self.df
         for a, b in mapping.items():
             df = df.withColumnRenamed(a, b)
         t.df, t.keys, t.rows = df, self.keys, self.rows
-        t.inline = None
-        if self.inline is not None:
-            t.inline = [_rename_row(r, mapping) for r in self.inline]
+        t.local = None if self.local is None else [_rename_row(r, mapping) for r in self.local]
+        t.inline = None if self.inline is None else [_rename_row(r, mapping) for r in self.inline]
         return t
 
     def unpersist(self) -> None:

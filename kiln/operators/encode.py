@@ -12,11 +12,13 @@ k folds cost one pass instead of k fits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.functions import rules as R
 from kiln.operators.base import Estimator, Model, ParamTable, present, replace_columns
@@ -125,17 +127,35 @@ class TargetEncoder(Estimator):
     n_folds: int = 5
     key: str = "listing_id"
 
+    def _lam(self, n: float) -> float:
+        return 1.0 / (1.0 + math.exp(-(n - self.min_samples_leaf) / self.smoothing))
+
     def fit(self, df: DataFrame) -> "TargetModel":
+        """Master encoder: per column one grouping-sets job gives the prior and
+        every category's (count, mean)."""
         y = F.col(self.target)
-        prior = df.agg(F.avg(y)).first()[0]
-        tables = {}
+        prior, tables = None, {}
         for c in self.columns:
-            stats = (df.filter(F.col(c).isNotNull()).groupBy(c)
-                     .agg(F.count(y).alias("_n"), F.avg(y).alias("_mean")))
-            enc = stats.select(c, F.coalesce(_blend(F.lit(prior), F.col("_mean"), F.col("_n"),
-                                                    self.min_samples_leaf, self.smoothing),
-                                             F.lit(prior)).alias("_enc"))
-            tables[c] = ParamTable(enc, [c])
+            stats = df.groupingSets([[c], []], c).agg(
+                F.count(y).alias("_n"), F.avg(y).alias("_mean"), F.grouping_id(c).alias("_gid")).persist()
+            head = stats.limit(ParamTable.COLLECT_MAX_ROWS + 2).collect()
+            prior = next(r["_mean"] for r in head if r["_gid"] == 1) if prior is None else prior
+            schema = T.StructType([df.schema[c], T.StructField("_enc", T.DoubleType())])
+            if len(head) <= ParamTable.COLLECT_MAX_ROWS + 1:
+                rows = []
+                for r in head:
+                    if r["_gid"] == 0 and r[c] is not None:
+                        enc = prior if r["_mean"] is None or prior is None else (
+                            prior * (1 - self._lam(r["_n"])) + r["_mean"] * self._lam(r["_n"]))
+                        rows.append((r[c], enc))
+                tables[c] = ParamTable.from_rows(df.sparkSession, rows, schema, [c])
+            else:
+                full = stats.filter((F.col("_gid") == 0) & F.col(c).isNotNull())
+                enc = full.select(c, F.coalesce(_blend(F.lit(prior), F.col("_mean"), F.col("_n"),
+                                                       self.min_samples_leaf, self.smoothing),
+                                                F.lit(prior)).alias("_enc"))
+                tables[c] = ParamTable(enc, [c])
+            stats.unpersist()
         return TargetModel(list(self.columns), tables, prior)
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
@@ -143,29 +163,46 @@ class TargetEncoder(Estimator):
         return self.oof_transform(df)
 
     def oof_transform(self, df: DataFrame) -> DataFrame:
+        """Each row encoded from the other folds' rows only: one job per column
+        aggregates (category, fold) and fold totals; out-of-fold sums are
+        category totals minus the row's own fold."""
         y = F.col(self.target)
-        fold = hash_bucket(F.col(self.key), self.n_folds)
-        cur = df.withColumn("_fold", fold)
-        # fold totals (k rows) -> per-fold prior of the other folds
-        ft = cur.groupBy("_fold").agg(F.count(y).alias("n"), F.sum(y).alias("s")).collect()
-        n_all, s_all = sum(r["n"] for r in ft), sum((r["s"] or 0.0) for r in ft)
-        priors = {r["_fold"]: ((s_all - (r["s"] or 0.0)) / (n_all - r["n"]) if n_all > r["n"] else None)
-                  for r in ft}
-        prior_map = F.map_from_arrays(F.array(*[F.lit(int(k)) for k in priors]),
-                                      F.array(*[F.lit(v).cast("double") for v in priors.values()]))
-        fold_prior = prior_map[F.col("_fold")]
-        new = {}
+        cur = df.withColumn("_fold", hash_bucket(F.col(self.key), self.n_folds))
+        new, fold_prior = {}, None
         for c in self.columns:
-            by_fold = (cur.filter(F.col(c).isNotNull()).groupBy(c, "_fold")
-                       .agg(F.count(y).alias("_nf"), F.sum(y).alias("_sf")))
-            w = Window.partitionBy(c)
-            oof = by_fold.select(
-                c, "_fold",
-                (F.sum("_nf").over(w) - F.col("_nf")).alias(f"_n_{c}"),
-                (F.coalesce(F.sum("_sf").over(w), F.lit(0.0)) - F.coalesce(F.col("_sf"), F.lit(0.0))).alias(f"_s_{c}"))
-            cur = ParamTable(oof, [c, "_fold"]).lookup(cur)
-            n, s = F.col(f"_n_{c}"), F.col(f"_s_{c}")
-            enc = F.when(n > 0, _blend(fold_prior, s / n, n, self.min_samples_leaf, self.smoothing))
+            stats = cur.groupingSets([[c, "_fold"], ["_fold"]], c, "_fold").agg(
+                F.count(y).alias("_nf"), F.sum(y).alias("_sf"), F.grouping_id(c, "_fold").alias("_gid")).persist()
+            head = stats.limit(ParamTable.COLLECT_MAX_ROWS + self.n_folds + 1).collect()
+            if fold_prior is None:
+                ft = [(r["_fold"], r["_nf"], r["_sf"] or 0.0) for r in head if r["_gid"] == 2]
+                if len(ft) < len({r["_fold"] for r in head}):
+                    ft = [(r["_fold"], r["_nf"], r["_sf"] or 0.0) for r in stats.filter("_gid = 2").collect()]
+                n_all, s_all = sum(n for _, n, _ in ft), sum(v for _, _, v in ft)
+                priors = {f: ((s_all - v) / (n_all - n) if n_all > n else None) for f, n, v in ft}
+                fold_prior = F.map_from_arrays(F.array(*[F.lit(int(k)) for k in priors]),
+                                               F.array(*[F.lit(v).cast("double") for v in priors.values()]))[F.col("_fold")]
+            schema = T.StructType([cur.schema[c], T.StructField("_fold", T.IntegerType()),
+                                   T.StructField(f"_n_{c}", T.LongType()), T.StructField(f"_s_{c}", T.DoubleType())])
+            if len(head) <= ParamTable.COLLECT_MAX_ROWS + self.n_folds:
+                cells = [(r[c], r["_fold"], r["_nf"], r["_sf"] or 0.0) for r in head
+                         if r["_gid"] == 0 and r[c] is not None]
+                tot: dict = {}
+                for k, _, n, v in cells:
+                    tn, ts = tot.get(k, (0, 0.0))
+                    tot[k] = (tn + n, ts + v)
+                rows = [(k, f, tot[k][0] - n, tot[k][1] - v) for k, f, n, v in cells]
+                table = ParamTable.from_rows(cur.sparkSession, rows, schema, [c, "_fold"])
+            else:
+                w = Window.partitionBy(c)
+                by_fold = stats.filter((F.col("_gid") == 0) & F.col(c).isNotNull())
+                table = ParamTable(by_fold.select(
+                    c, "_fold", (F.sum("_nf").over(w) - F.col("_nf")).alias(f"_n_{c}"),
+                    (F.coalesce(F.sum("_sf").over(w), F.lit(0.0)) - F.coalesce(F.col("_sf"), F.lit(0.0)))
+                    .alias(f"_s_{c}")), [c, "_fold"])
+            stats.unpersist()
+            cur = table.lookup(cur)
+            n, sm = F.col(f"_n_{c}"), F.col(f"_s_{c}")
+            enc = F.when(n > 0, _blend(fold_prior, sm / n, n, self.min_samples_leaf, self.smoothing))
             new[c] = F.coalesce(enc, fold_prior)
         out = replace_columns(cur, new)
         return out.select(*df.columns)

@@ -36,9 +36,18 @@ def group_and_global(df: DataFrame, by: Sequence[str], agg: Column, name: str):
     a lookup, exactly like a dictionary lookup on a missing key).
     """
     by = list(by)
-    gid = F.grouping_id(*by).alias("_gid")
-    stats = df.groupingSets([by, []], *by).agg(agg.alias(name), gid).persist()
-    glob = stats.filter(F.col("_gid") == (1 << len(by)) - 1).select(name).first()
+    full_mask = (1 << len(by)) - 1
+    stats = df.groupingSets([by, []], *by).agg(agg.alias(name), F.grouping_id(*by).alias("_gid"))
+    stats = stats.persist()
+    head = stats.limit(ParamTable.COLLECT_MAX_ROWS + 2).collect()
+    schema = stats.select(*by, name).schema
+    if len(head) <= ParamTable.COLLECT_MAX_ROWS + 1:
+        stats.unpersist()
+        glob = next((r[name] for r in head if r["_gid"] == full_mask), None)
+        rows = [tuple(r[c] for c in [*by, name]) for r in head
+                if r["_gid"] == 0 and all(r[k] is not None for k in by)]
+        return ParamTable.from_rows(df.sparkSession, rows, schema, by), glob
+    glob = stats.filter(F.col("_gid") == full_mask).select(name).first()
     full = stats.filter(F.col("_gid") == 0)
     for k in by:
         full = full.filter(F.col(k).isNotNull())

@@ -290,7 +290,7 @@ FROM (SELECT li.*, fit.a + fit.b * li.x AS p FROM li, fit){grp}"""
 
 @register("ols_univariate", Q.with_ctes(LOG_SQL, body="""
 SELECT l_returnflag, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_r2(y, x) AS r2,
-       regr_count(y, x) AS n FROM li GROUP BY l_returnflag"""))
+       CAST(regr_count(y, x) AS BIGINT) AS n FROM li GROUP BY l_returnflag"""))
 def ols_univariate(spark, sf):
     """M1 (one regressor): log extended price on log quantity, per return flag."""
     return M.univariate_ols(_log_lineitem(spark, sf), "y", "x", ["l_returnflag"])
@@ -316,7 +316,7 @@ def regression_metrics_by_group(spark, sf):
 
 
 @register("quality_gate", Q.with_ctes(LOG_SQL, FIT_SQL, f"m AS ({_metrics_sql(None, 'univariate_ols')})", body="""
-SELECT model, r2, 0.6 AS min_r2, r2 >= 0.6 AS passed FROM m"""))
+SELECT model, r2, CAST(0.6 AS DOUBLE) AS min_r2, coalesce(r2 >= 0.6, false) AS passed FROM m"""))
 def quality_gate(spark, sf):
     """M8: minimum-quality gate (r2 >= 0.6)."""
     return M.quality_gate(M.regression_metrics(_with_fit(spark, sf), "y", "p", "univariate_ols"))

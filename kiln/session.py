@@ -79,6 +79,18 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     raise ValueError(f"unknown materialize mode {how!r}")
 
 
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned batch input over every core before CPU-heavy
+    row work (an unsplittable file arrives as one partition). A no-op for
+    inputs that already have enough partitions and for streams."""
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
     """Lazily bind the parquet test tables (no job runs here)."""
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
