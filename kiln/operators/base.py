@@ -153,7 +153,7 @@ class Chain(Estimator):
     the previous fitted steps (I7 semantics). ``materialize`` cuts lineage of
     the intermediate frame once per fit when steps need several passes."""
 
-    def __init__(self, steps: Sequence[Estimator], materialize: str = "persist"):
+    def __init__(self, steps: Sequence[Estimator], materialize: str = "auto"):
         self.steps = list(steps)
         self.materialize = materialize
 

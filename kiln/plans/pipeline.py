@@ -71,12 +71,13 @@ class Preprocessor(Estimator):
     """Clean -> features -> impute (sequential fit) -> outliers -> encode.
 
     ``materialize`` cuts lineage once, after feature extraction, before the
-    imputers' dependent fits ("checkpoint" on a cluster, "persist" locally).
+    imputers' dependent fits ("auto": checkpoint to the shared checkpoint
+    folder on a cluster, persist locally).
     """
 
     key: str = "listing_id"
     approx: bool = False
-    materialize: str = "persist"
+    materialize: str = "auto"
     extra: list = field(default_factory=list)
 
     def _prepare(self, df: DataFrame):
@@ -133,7 +134,7 @@ class TrainingResult:
 
 def run_training(raw: DataFrame, key: str = "listing_id", test_ratio: float = R.TEST_RATIO,
                  champion: ScoringBundle | None = None, min_r2: float = R.MIN_R2,
-                 min_improvement: float = 0.0, materialize_mode: str = "persist") -> TrainingResult:
+                 min_improvement: float = 0.0, materialize_mode: str = "auto") -> TrainingResult:
     """Split -> preprocess (fit on train) -> OLS -> test metrics -> gates.
 
     The champion (if any) is scored on the same test rows; with none, its
@@ -144,9 +145,9 @@ def run_training(raw: DataFrame, key: str = "listing_id", test_ratio: float = R.
     test = split.filter(F.col("_split") == "test").drop("_split")
     matrix, pre = Preprocessor(key=key, materialize=materialize_mode).fit_transform_with_model(train)
     matrix = materialize(matrix, materialize_mode)
-    n_train = matrix.count()
+    counts = matrix.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(TARGET)).alias("labelled")).first()
+    n_train, dropped = counts["n"], counts["n"] - counts["labelled"]
     usable = matrix.dropna(subset=[TARGET])
-    dropped = n_train - usable.count()
     reg = M.LinearTrainer(pre.feature_names, TARGET).fit(usable)
     bundle = ScoringBundle(pre, reg, key)
     scored = bundle.score(test, keep_label=True)

@@ -62,13 +62,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, how: str = "auto") -> DataFrame:
     """Cut lineage before several dependent jobs reuse ``df``.
 
     ``checkpoint`` writes to the shared checkpoint folder (survives executor
-    loss); ``persist`` keeps MEMORY_AND_DISK blocks (recomputed from lineage
-    on loss); ``none`` returns ``df`` unchanged.
+    loss without recomputation); ``persist`` keeps MEMORY_AND_DISK blocks
+    (recomputed from lineage on loss); ``none`` returns ``df`` unchanged;
+    ``auto`` checkpoints on a cluster and persists in local mode.
     """
+    if how == "auto":
+        how = "persist" if df.sparkSession.sparkContext.master.startswith("local") else "checkpoint"
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
