@@ -59,6 +59,27 @@ class FeatureEngineer(Estimator):
         modes = fit_modes(df, self.color_columns, self.mode_of) if self.fallback == "fit" else None
         return FeatureModel(self.color_columns, modes, self.mode_of)
 
+    def fit_transform_with_model(self, df: DataFrame, how: str = "auto"):
+        """Training path in one heavy pass: extract every feature with the
+        fallbacks left open (normalised text kept in hidden columns),
+        materialize, take the modes from the materialized columns, then fill
+        with a cheap projection. Same result as ``fit(df).transform(df)``."""
+        from kiln.session import materialize
+
+        if self.fallback != "fit":
+            m = self.fit(df)
+            return m.transform(df), m
+        open_model = FeatureModel(self.color_columns, None, self.mode_of)
+        hidden = {f"_mode_src_{k}": e for k, e in _mode_sources(df, self.color_columns, self.mode_of).items()}
+        hidden.update({"_n_transmission": T.normalize_transmission(F.col("transmission"))}
+                      if "transmission" in df.columns else {})
+        base = materialize(open_model.transform(df, fill=False, extra=hidden), how)
+        srcs = [k for k in hidden if k.startswith("_mode_src_")]
+        row = base.agg(*[F.mode(F.col(k), True).alias(k) for k in srcs]).first() if srcs else None
+        modes = {k[len("_mode_src_"):]: row[k] for k in srcs} if row else {}
+        model = FeatureModel(self.color_columns, modes, self.mode_of)
+        return model.fill(base, list(hidden)), model
+
 
 @dataclass
 class FeatureModel(Model):
@@ -67,8 +88,13 @@ class FeatureModel(Model):
     mode_of: str = "raw"
     keep: tuple = field(default=())
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        modes = self.modes if self.modes is not None else fit_modes(df, self.color_columns, self.mode_of)
+    def transform(self, df: DataFrame, fill: bool = True, extra: dict | None = None) -> DataFrame:
+        """One projection. ``fill=False`` leaves the colour/transmission
+        fallbacks open (used by the one-pass training path)."""
+        if fill:
+            modes = self.modes if self.modes is not None else fit_modes(df, self.color_columns, self.mode_of)
+        else:
+            modes = None
         have = set(df.columns)
         new, drop = {}, []
         if "model" in have:
@@ -79,12 +105,16 @@ class FeatureModel(Model):
             drop.append("model")
         for c in self.color_columns:
             if c in have:
-                new[c] = F.coalesce(T.color_bucket(F.col(c)), F.lit(modes.get(c)))
+                bucket = T.color_bucket(F.col(c))
+                new[c] = F.coalesce(bucket, F.lit(modes.get(c))) if modes is not None else bucket
         if "accident" in have:
             new["accident"] = T.accident_flag(F.col("accident"))
         if "transmission" in have:
-            dflt = modes.get("transmission") or R.TRANSMISSION_DEFAULT
-            new["transmission_type"] = T.transmission_bucket(F.col("transmission"), default=dflt)
+            if modes is not None:
+                dflt = modes.get("transmission") or R.TRANSMISSION_DEFAULT
+                new["transmission_type"] = T.transmission_bucket(F.col("transmission"), default=dflt)
+            else:
+                new["transmission_type"] = T.transmission_bucket(F.col("transmission"), default=None)
             drop.append("transmission")
         if "engine" in have:
             e = F.col("engine")
@@ -93,4 +123,17 @@ class FeatureModel(Model):
             if "fuel_type" in have:
                 new["fuel_type"] = F.coalesce(F.col("fuel_type"), T.engine_fuel(e))
             drop.append("engine")
+        new.update(extra or {})
         return replace_columns(df, new, drop)
+
+    def fill(self, base: DataFrame, hidden: list) -> DataFrame:
+        """Close the fallbacks of an open transform and drop the hidden columns."""
+        new = {}
+        for c in self.color_columns:
+            if c in base.columns:
+                new[c] = F.coalesce(F.col(c), F.lit(self.modes.get(c)))
+        if "transmission_type" in base.columns and "_n_transmission" in base.columns:
+            dflt = self.modes.get("transmission") or R.TRANSMISSION_DEFAULT
+            new["transmission_type"] = F.when(F.col("_n_transmission").isNotNull(),
+                                              F.coalesce(F.col("transmission_type"), F.lit(dflt)))
+        return replace_columns(base, new, hidden)

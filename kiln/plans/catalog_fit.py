@@ -17,8 +17,8 @@ IMPUTED_COLS = "listing_id, engine_hp, engine_displacement, fuel_type"
 
 def imputed(spark, sf):
     """Featured listings through the default sequential-fit imputation chain."""
-    f = featured(spark, sf)
-    return Chain(I.default_imputers()).fit(f).transform(f)
+    f = featured(spark, sf)  # already materialized
+    return Chain(I.default_imputers(), materialize="none").fit(f).transform(f)
 
 
 # ------------------------------------------------------------------ I1-I9
@@ -43,7 +43,7 @@ SELECT listing_id, engine_displacement FROM imp3"""))
 def impute_two_key_median(spark, sf):
     """I3 (after I1, I2): displacement by (brand, engine_hp) median, then global median."""
     f = featured(spark, sf)
-    pre = Chain(I.default_imputers()[:2]).fit(f).transform(f)
+    pre = Chain(I.default_imputers()[:2], materialize="none").fit(f).transform(f)
     m = I.GroupMedianImputer("engine_displacement", ("brand", "engine_hp")).fit(pre)
     return m.transform(pre).select("listing_id", "engine_displacement")
 

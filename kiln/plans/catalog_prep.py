@@ -18,8 +18,8 @@ def cleaned(spark, sf):
 
 
 def featured(spark, sf):
-    c = cleaned(spark, sf)
-    return FeatureEngineer().fit(c).transform(c)
+    """Cleaned listings through the feature chain (one-pass fit; result is materialized)."""
+    return FeatureEngineer().fit_transform_with_model(cleaned(spark, sf))[0]
 
 
 L = [LISTINGS_SQL]

@@ -83,8 +83,7 @@ class Preprocessor(Estimator):
     def _prepare(self, df: DataFrame):
         cleaner = Cleaner()
         c = cleaner.transform(df)
-        fm = FeatureEngineer().fit(c)
-        feat = materialize(fm.transform(c), self.materialize)
+        feat, fm = FeatureEngineer().fit_transform_with_model(c, self.materialize)
         im = Chain(I.default_imputers(self.approx), materialize="none").fit(feat)
         imp = im.transform(feat)
         om = O.OutlierHandler(approx=self.approx).fit(imp)
