@@ -149,7 +149,7 @@ def run_training(raw: DataFrame, key: str = "listing_id", test_ratio: float = R.
     usable = matrix.dropna(subset=[TARGET])
     reg = M.LinearTrainer(pre.feature_names, TARGET).fit(usable)
     bundle = ScoringBundle(pre, reg, key)
-    scored = bundle.score(test, keep_label=True)
+    scored = materialize(bundle.score(test, keep_label=True), materialize_mode)  # metrics + decision reuse it
     metrics = M.regression_metrics(scored, TARGET, "prediction", "linear_regression")
     gate = M.quality_gate(metrics, min_r2)
     if champion is not None:
