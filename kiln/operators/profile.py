@@ -45,14 +45,20 @@ def profile_columns(df: DataFrame) -> DataFrame:
     return wide.selectExpr("_n AS n_rows", f"stack({len(cols)}, {items}) AS (column_name, position, data_type, n_non_null)")
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def quartiles(x: Column, approx: bool = False) -> Column:
+    """[q25, q50, q75]: exact linear percentiles, or a fixed-size sketch with ``approx``."""
+    qs = [0.25, 0.5, 0.75]
+    return F.percentile_approx(x, qs, 10000).cast("array<double>") if approx else F.percentile(x, qs)
+
+
+def describe_numeric(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Count, mean, sample std, min, quartiles (exact, linear), max."""
     aggs = []
     for c in cols:
         x = F.col(c)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q"), F.max(x).cast("double").alias(f"{c}__max")]
+                 quartiles(x, approx).alias(f"{c}__q"), F.max(x).cast("double").alias(f"{c}__max")]
     wide = df.agg(*aggs)
     long = _stack(wide, cols, ["count", "mean", "std", "min", "q", "max"],
                   ["n", "mean", "std", "min", "q", "max"])
@@ -129,13 +135,13 @@ def density_grid(df: DataFrame, col: str, gridsize: int = 64, cut: float = 3.0)
 
 
 def box_summary(df: DataFrame, cols: Sequence[str] = (), value: str | None = None,
-                by: str | None = None, k: float = 1.5) -> DataFrame:
+                by: str | None = None, k: float = 1.5, approx: bool = False) -> DataFrame:
     """Quartiles, whisker ends (extreme values inside the fences) and
     outlier count, per column or per group of ``by``. Two aggregations."""
     if by is not None:
         x = F.col(value)
         q = df.filter(F.col(by).isNotNull()).groupBy(by).agg(
-            F.percentile(x, [0.25, 0.5, 0.75]).alias("q"), F.count(x).alias("n"))
+            quartiles(x, approx).alias("q"), F.count(x).alias("n"))
         fences = q.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                           F.col("q")[2].alias("q3"))
         fences = fences.withColumn("_lo", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
@@ -148,7 +154,7 @@ def box_summary(df: DataFrame, cols: Sequence[str] = (), value: str | None = Non
         return j.groupBy(by, "n", "q1", "median", "q3").agg(
             F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
             F.count_if(x.isNotNull() & ~inside).alias("n_outliers"))
-    wide = df.agg(*[F.percentile(F.col(c), [0.25, 0.5, 0.75]).alias(c) for c in cols]).first()
+    wide = df.agg(*[quartiles(F.col(c), approx).alias(c) for c in cols]).first()
     aggs = []
     for c in cols:
         q1, med, q3 = wide[c]
@@ -199,15 +205,17 @@ def share_pivot(df: DataFrame, row: str, col: str, max_values: int = 1000) -> Da
     return shares.groupBy(row).pivot(col, values).agg(F.first("share")).fillna(0.0)
 
 
-def prefix_before(df: DataFrame, order: Sequence[Column], weight: str, partitions: int = 64,
+def prefix_before(df: DataFrame, order: Sequence[Column], weight: str, partitions: int | None = None,
                   out: str = "before") -> DataFrame:
     """Distributed exclusive prefix sum of ``weight`` in ``order``.
 
-    Range-partition the (already reduced) rows, total each partition, turn the
-    small totals table into offsets, and add a per-partition running sum. Only
-    the per-partition totals reach the driver.
+    Range-partition the (already reduced) rows into ``partitions`` ranges
+    (default: the session's shuffle partitions), total each range, turn the
+    small totals table into offsets, and add a per-range running sum. Only one
+    total per range reaches the driver.
     """
-    ranged = df.repartitionByRange(partitions, *order).withColumn("_pid", F.spark_partition_id())
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = df.repartitionByRange(n_parts, *order).withColumn("_pid", F.spark_partition_id())
     totals = sorted(ranged.groupBy("_pid").agg(F.sum(weight).alias("t")).collect())
     offsets, run = {}, 0
     for pid, t in totals:

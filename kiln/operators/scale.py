@@ -30,6 +30,7 @@ class Scaler(Estimator):
 
     columns: Sequence[str] = DEFAULT_COLUMNS
     kind: str = "standard"
+    approx: bool = False  # robust: fixed-size quantile sketch instead of exact percentiles
 
     def fit(self, df: DataFrame) -> "ScalerModel":
         if self.kind not in KINDS:
@@ -43,7 +44,9 @@ class Scaler(Estimator):
             if self.kind == "standard":
                 aggs += [F.avg(x).alias(f"{c}__a"), F.stddev_pop(x).alias(f"{c}__b")]
             elif self.kind == "robust":
-                aggs += [F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q")]
+                q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>") if self.approx
+                     else F.percentile(x, [0.25, 0.5, 0.75]))
+                aggs += [q.alias(f"{c}__q")]
             else:
                 aggs += [F.min(x).alias(f"{c}__a"), F.max(x).alias(f"{c}__b")]
         row = df.agg(*aggs).first()

@@ -73,3 +73,24 @@ def test_oof_row_independent_of_own_fold_targets(spark, featured):
     for k, v, f in after.select("listing_id", "brand", "f").collect():
         if f == 0:
             assert v == pytest.approx(base[k], rel=1e-9)
+
+
+def test_approx_switches_close_to_exact(spark):
+    from kiln.operators import profile as X
+    from kiln.session import table
+    li = table(spark, SF_SMALL, "lineitem")
+    ex = {r["column_name"]: r for r in X.describe_numeric(li, ["l_quantity"]).collect()}
+    ap = {r["column_name"]: r for r in X.describe_numeric(li, ["l_quantity"], approx=True).collect()}
+    assert abs(ex["l_quantity"]["q50"] - ap["l_quantity"]["q50"]) <= 1.0
+    m = I.GroupMedianImputer("l_quantity", ("l_returnflag",), approx=True).fit(li)
+    assert m.global_value is not None
+
+
+def test_prefix_sum_across_ranges(spark):
+    from kiln.operators.profile import prefix_before
+    df = spark.createDataFrame([(i, i % 7 + 1) for i in range(200)], "v int, w int")
+    out = {r["v"]: r["before"] for r in prefix_before(df, [F.col("v")], "w", partitions=5).collect()}
+    run = 0
+    for i in range(200):
+        assert out[i] == run
+        run += i % 7 + 1
