@@ -196,6 +196,19 @@ class TieredBinImputer(Estimator):
         # (bin, group), (bin) and () medians in one pass over the data
         stats = (binned.groupingSets([["_bin", self.by], ["_bin"], []], "_bin", self.by)
                  .agg(med, F.grouping_id("_bin", self.by).alias("_gid")).persist())
+        head = stats.limit(ParamTable.COLLECT_MAX_ROWS + 2).collect()
+        if len(head) <= ParamTable.COLLECT_MAX_ROWS + 1:  # small: split on the driver, no more jobs
+            stats.unpersist()
+            spark = df.sparkSession
+            glob = next((r["_fill"] for r in head if r["_gid"] == 3), None)
+            kb_schema = binned.select(self.by, "_bin", F.lit(0.0).alias("_fill")).schema
+            b_schema = binned.select("_bin", F.lit(0.0).alias("_fill")).schema
+            t_kb = ParamTable.from_rows(spark, [(r[self.by], r["_bin"], r["_fill"]) for r in head if r["_gid"] == 0
+                                                and r["_bin"] is not None and r[self.by] is not None],
+                                        kb_schema, [self.by, "_bin"])
+            t_b = ParamTable.from_rows(spark, [(r["_bin"], r["_fill"]) for r in head
+                                               if r["_gid"] == 1 and r["_bin"] is not None], b_schema, ["_bin"])
+            return TieredBinModel(self.target, self.by, binner, [t_kb, t_b], glob)
         glob = stats.filter(F.col("_gid") == 3).select("_fill").first()[0]
         has_bin = F.col("_bin").isNotNull()
         t_kb = ParamTable(stats.filter((F.col("_gid") == 0) & has_bin & F.col(self.by).isNotNull())
