@@ -338,3 +338,16 @@ def known_categories(metadata: DataFrame, column: str = "brand") -> DataFrame:
     """Sorted known categories of ``column`` without the fallback row."""
     return (metadata.filter((F.col("column") == column) & (F.col("category") != R.GLOBAL_FALLBACK_KEY))
             .select("category").orderBy("category"))
+
+
+def inference_metadata(model: "EncoderModel") -> DataFrame:
+    """K5/E7 nested form: one row ``(target_encodings map<column, map<category,
+    value>>, one_hot_features array<string>)``, the fallback under
+    ``__global_fallback__``; written as JSON by ``sinks.write_json_rows``."""
+    meta = model.target.metadata()
+    per_col = meta.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("category", "value"))).alias("m"))
+    names = F.array(*[F.lit(n) for n in model.one_hot.feature_names]) if model.one_hot.feature_names \
+        else F.array().cast("array<string>")
+    return per_col.agg(F.map_from_entries(F.collect_list(F.struct("column", "m"))).alias("target_encodings")) \
+        .select("target_encodings", names.alias("one_hot_features"))
+

@@ -67,3 +67,14 @@ def test_latest_parsed_version_skips_unparsable(spark):
     names = spark.createDataFrame([("12_01_2026_10_00_00",), ("latest_artifact",), ("01_05_2027_00_00_00",)],
                                   "folder string")
     assert K.latest_parsed_version(names).first()["folder"] == "01_05_2027_00_00_00"
+
+
+def test_inference_metadata_json(spark, trained):
+    from kiln.operators.encode import inference_metadata
+    res, _ = trained
+    enc = res.bundle.preprocess.encoder
+    path = K.write_json_rows(inference_metadata(enc), K.scratch_path(spark, "meta"))
+    row = spark.read.json(path).first()
+    te = row["target_encodings"]["brand"].asDict()
+    assert te["__global_fallback__"] == pytest.approx(enc.target.prior)
+    assert list(row["one_hot_features"]) == enc.one_hot.feature_names
