@@ -12,7 +12,6 @@ from kiln.plans.registry import register
 from kiln.sources.fixtures import LISTINGS_SQL, listings
 
 B = Q.BASE
-IMPUTED_COLS = "listing_id, engine_hp, engine_displacement, fuel_type"
 
 
 def imputed(spark, sf):

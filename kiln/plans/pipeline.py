@@ -160,6 +160,3 @@ def run_training(raw: DataFrame, key: str = "listing_id", test_ratio: float = R.
         decision = M.champion_challenger(scored, TARGET, "prediction", None, min_improvement)
     return TrainingResult(bundle, metrics, gate, decision, n_train, dropped)
 
-
-def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in set(exclude)]
