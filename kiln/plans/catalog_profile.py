@@ -256,3 +256,9 @@ def normality_k2(spark, sf):
 def head_rows(spark, sf):
     """First five raw listings by key."""
     return X.head_rows(listings(spark, sf), "listing_id", 5)
+
+
+@register("scatter_points", Q.with_ctes(*LC, body="SELECT listing_id, mileage_num, price_usd FROM cleaned"))
+def scatter_points(spark, sf):
+    """(mileage, price) point pairs behind the scatter plot, every listing."""
+    return cleaned(spark, sf).select("listing_id", "mileage_num", "price_usd")

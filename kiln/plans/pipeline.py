@@ -25,6 +25,7 @@ from kiln.operators.base import Chain, ChainModel, Estimator, Model, Transformer
 from kiln.operators.clean import Cleaner
 from kiln.operators.features import FeatureEngineer, FeatureModel
 from kiln.operators.split import hash_split
+from kiln.operators.validate import validate
 from kiln.session import materialize
 
 TARGET = "price_usd"
@@ -84,6 +85,7 @@ class Preprocessor(Estimator):
         cleaner = Cleaner()
         c = cleaner.transform(df)
         feat, fm = FeatureEngineer().fit_transform_with_model(c, self.materialize)
+        self.materialized = [feat]
         im = Chain(I.default_imputers(self.approx), materialize="none").fit(feat)
         imp = im.transform(feat)
         om = O.OutlierHandler(approx=self.approx).fit(imp)
@@ -94,6 +96,9 @@ class Preprocessor(Estimator):
         return cleaner, fm, im, om, extra, cur
 
     def fit_transform_with_model(self, df: DataFrame):
+        """(OOF-encoded training matrix, scoring model). The materialized
+        feature frame is listed in ``self.materialized`` for release once the
+        caller has materialized the matrix."""
         cleaner, fm, im, om, extra, cur = self._prepare(df)
         enc = E.CategoricalEncoder(target=E.TargetEncoder(key=self.key))
         matrix, em = enc.fit_transform_with_model(cur)
@@ -129,12 +134,19 @@ class TrainingResult:
     decision: DataFrame
     train_rows: int
     dropped_label_rows: int
+    materialized: list = field(default_factory=list)
+
+    def release(self) -> None:
+        """Unpersist the training matrix and the scored test split once the
+        metric tables have been consumed."""
+        for d in self.materialized:
+            d.unpersist()
 
 
 def run_training(raw: DataFrame, key: str = "listing_id", test_ratio: float = R.TEST_RATIO,
                  champion: ScoringBundle | None = None, min_r2: float = R.MIN_R2,
                  min_improvement: float = 0.0, materialize_mode: str = "auto") -> TrainingResult:
-    """Split -> preprocess (fit on train) -> OLS -> test metrics -> gates.
+    """Split -> validate -> preprocess (fit on train) -> OLS -> test metrics -> gates.
 
     The champion (if any) is scored on the same test rows; with none, its
     R² counts as 0.
@@ -142,9 +154,14 @@ def run_training(raw: DataFrame, key: str = "listing_id", test_ratio: float = R.
     split = hash_split(raw, key, test_ratio, "_split")
     train = split.filter(F.col("_split") == "train").drop("_split")
     test = split.filter(F.col("_split") == "test").drop("_split")
-    matrix, pre = Preprocessor(key=key, materialize=materialize_mode).fit_transform_with_model(train)
+    # V3 gate: schema checks of both parts (metadata only) before any transform
+    validate({"train": train.drop(key), "test": test.drop(key)}).raise_if_failed()
+    pp = Preprocessor(key=key, materialize=materialize_mode)
+    matrix, pre = pp.fit_transform_with_model(train)
     matrix = materialize(matrix, materialize_mode)
     counts = matrix.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(TARGET)).alias("labelled")).first()
+    for d in pp.materialized:  # the matrix is materialized now; the feature frame is no longer needed
+        d.unpersist()
     n_train, dropped = counts["n"], counts["n"] - counts["labelled"]
     usable = matrix.dropna(subset=[TARGET])
     reg = M.LinearTrainer(pre.feature_names, TARGET).fit(usable)
@@ -158,5 +175,5 @@ def run_training(raw: DataFrame, key: str = "listing_id", test_ratio: float = R.
         decision = M.champion_challenger(both, TARGET, "prediction", "prediction_old", min_improvement)
     else:
         decision = M.champion_challenger(scored, TARGET, "prediction", None, min_improvement)
-    return TrainingResult(bundle, metrics, gate, decision, n_train, dropped)
+    return TrainingResult(bundle, metrics, gate, decision, n_train, dropped, [matrix, scored])
 

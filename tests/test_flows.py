@@ -78,3 +78,10 @@ def test_inference_metadata_json(spark, trained):
     te = row["target_encodings"]["brand"].asDict()
     assert te["__global_fallback__"] == pytest.approx(enc.target.prior)
     assert list(row["one_hot_features"]) == enc.one_hot.feature_names
+
+
+def test_training_refuses_invalid_schema(spark):
+    from kiln.plans.pipeline import run_training
+    bad = listings(spark, SF_SMALL).drop("engine")
+    with pytest.raises(ValueError, match="validation failed"):
+        run_training(bad)
