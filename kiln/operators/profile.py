@@ -259,9 +259,10 @@ def semi_filter_top_n(df: DataFrame, col: str, n: int = 20) -> DataFrame:
     return df.join(F.broadcast(top), col, "left_semi")
 
 
-def group_median_ranked(df: DataFrame, key: str, value: str) -> DataFrame:
+def group_median_ranked(df: DataFrame, key: str, value: str, approx: bool = False) -> DataFrame:
     """Median of ``value`` per ``key`` ranked descending (ties by key)."""
-    return (df.groupBy(key).agg(F.median(value).alias("median_value"), F.count(F.lit(1)).alias("n"))
+    med = F.percentile_approx(F.col(value), 0.5, 10000).cast("double") if approx else F.median(value)
+    return (df.groupBy(key).agg(med.alias("median_value"), F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("median_value"), key))
 
 
