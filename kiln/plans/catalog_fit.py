@@ -56,7 +56,7 @@ def impute_group_mode(spark, sf):
 
 
 @register("quantile_bin", Q.with_ctes(*B, body=f"""
-SELECT listing_id, {Q.bin_expr('f.engine_hp', 'x.e')} AS engine_hp_bin
+SELECT listing_id, CAST({Q.bin_expr('f.engine_hp', 'x.e')} AS INTEGER) AS engine_hp_bin
 FROM features f, (SELECT list_sort(list_distinct(quantile_cont(engine_hp, {Q.QS15}))) AS e FROM features) x"""))
 def quantile_bin(spark, sf):
     """15 quantile bins of engine_hp (right-closed, lowest included, outside -> null)."""
