@@ -99,7 +99,7 @@ def compose_raw_text(spark, sf):
 
 @register("score_raw_batch")
 def score_raw_batch(spark, sf):
-    """S8 + M12: raw test-split rows (dummy price) scored by the trained bundle."""
+    """Raw test-split rows, price replaced by the dummy ``"0"`` of S8, scored by the trained bundle."""
     res, _ = trained(spark, sf)
     raw = test_rows(spark, sf).withColumn("price", F.lit("0"))
     return res.bundle.score(raw)

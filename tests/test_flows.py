@@ -85,3 +85,22 @@ def test_training_refuses_invalid_schema(spark):
     bad = listings(spark, SF_SMALL).drop("engine")
     with pytest.raises(ValueError, match="validation failed"):
         run_training(bad)
+
+
+def test_single_request_path(spark, trained):
+    """S9 -> S8 -> M12 -> M14: form fields to raw text, one record, scored, formatted."""
+    from kiln.operators.model import format_currency
+    from kiln.sources.readers import compose_raw_text, records_frame
+    res, _ = trained
+    form = spark.createDataFrame([(1, 1, 1, 1, 0, 35000.0, 300.0, 3.5)],
+                                 "accident int, clean_title int, is_sport int, is_premium int, is_4wd int, "
+                                 "mileage double, hp double, disp double")
+    cols = compose_raw_text(*[F.col(c) for c in form.columns])
+    raw = form.select(*[e.alias(n) for n, e in cols.items()]).first().asDict()
+    assert raw["model"] == "Sport Premium" and raw["engine"] == "300.0 HP 3.5L" and raw["clean_title"] == "Yes"
+    rec = dict(raw, listing_id=1, brand="Brand#13", model_year=2019, fuel_type="Gasoline",
+               transmission="8-Speed A/T", ext_col="Black", int_col="Beige")
+    one = records_frame(spark, [rec], key="listing_id")
+    assert one.first()["price"] == "0"
+    out = res.bundle.score(one).select("price", format_currency(F.col("price")).alias("text")).first()
+    assert out["price"] is not None and out["text"].startswith("$")
