@@ -238,11 +238,15 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, alpha: float = 0.05) -
     rg = vg.join(ranked.select(value, "avg_rank"), value).groupBy(group).agg(
         F.sum(F.col("c") * F.col("avg_rank")).alias("r"), F.sum("c").alias("ng"))
     s = rg.agg(F.sum(F.col("r") * F.col("r") / F.col("ng")).alias("s"), F.count(F.lit(1)).alias("k")).first()
-    n, k = ties["n"], s["k"]
-    h = (12.0 / (n * (n + 1)) * s["s"] - 3.0 * (n + 1)) / (1.0 - ties["tt"] / (float(n) ** 3 - n))
-    p = chi2_sf(h, k - 1)
+    n, k = ties["n"] or 0, s["k"] or 0
+    denom = 1.0 - ties["tt"] / (float(n) ** 3 - n) if n > 1 else 0.0
+    if k < 2 or denom <= 0.0:  # one group, or every value tied: the statistic is undefined
+        h = p = None
+    else:
+        h = (12.0 / (n * (n + 1)) * s["s"] - 3.0 * (n + 1)) / denom
+        p = chi2_sf(h, k - 1)
     return df.sparkSession.createDataFrame(
-        [(value, group, int(k), int(n), float(h), float(p), bool(p < alpha))],
+        [(value, group, int(k), int(n), h, p, None if p is None else bool(p < alpha))],
         "value_column string, group_column string, k int, n bigint, h double, p_value double, significant boolean")
 
 

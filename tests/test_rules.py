@@ -198,3 +198,16 @@ def test_m10_champion_rules(spark):
 def test_m8_gate_treats_missing_r2_as_fail(spark):
     m = spark.createDataFrame([("m", None)], "model string, r2 double")
     assert M.quality_gate(m).first()["passed"] is False
+
+
+def test_x16_kruskal_undefined_cases(spark):
+    from kiln.operators import profile as X
+    tied = spark.createDataFrame([(1.0, "a"), (1.0, "b"), (1.0, "b")], "v double, g string")
+    r = X.kruskal_wallis(tied, "v", "g").first()
+    assert r["h"] is None and r["p_value"] is None
+    one = spark.createDataFrame([(1.0, "a"), (2.0, "a")], "v double, g string")
+    assert X.kruskal_wallis(one, "v", "g").first()["h"] is None
+    two = spark.createDataFrame([(1.0, "a"), (2.0, "a"), (3.0, "b"), (4.0, "b")], "v double, g string")
+    r = X.kruskal_wallis(two, "v", "g").first()
+    # ranks a: 1,2 (R=3), b: 3,4 (R=7); H = 12/(4*5) * (9/2 + 49/2) - 15 = 2.4
+    assert r["h"] == pytest.approx(2.4) and r["p_value"] == pytest.approx(math.erfc(math.sqrt(1.2)))  # 1 dof
