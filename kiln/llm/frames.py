@@ -25,7 +25,7 @@ def unpacked(df: DataFrame, columns: list[str]) -> list[Column]:
     return [F.col("doc").getField(c).alias(c) for c in columns]
 
 
-def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage with files every executor can read, so a lost executor
@@ -33,6 +33,12 @@ def stored(df: DataFrame, partitions: int | None = None) -> DataFrame:
     the columns they need.
     """
     spark = df.sparkSession
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")  # the shuffles behind a stored frame are not needed again
     path = f"{ensure_checkpoint_dir(spark)}/kiln-{uuid4().hex}"
-    (df if partitions is None else df.coalesce(partitions)).write.parquet(path)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)

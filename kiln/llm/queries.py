@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kiln.llm import op03_near_dedup, op08_decontaminate
+from kiln.llm import op03_near_dedup, op06_substring_dedup, op08_decontaminate, op10_suffix_dedup
 from kiln.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 2-word shingle sets are at least 0.8 similar."""
     return op03_near_dedup.report(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+SQL_SUBSTRING_DEDUP = """
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k FROM d, unnest(range(1, len(w) - 48)) AS t(i)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS m FROM win) WHERE m < doc_id),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM again, unnest(range(i, i + 50)) AS t(p) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN ps IS NULL THEN array_to_string(w, ' ') ELSE coalesce((SELECT string_agg(w[q], ' ' ORDER BY q)
+              FROM unnest(range(1, len(w) + 1)) AS t(q) WHERE NOT list_contains(ps, q)), '') END) AS kept_sha256
+FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id
+"""
+
+
+@query("op6_substring_dedup", SQL_SUBSTRING_DEDUP)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of passages of 50 words that a document with a smaller id has too."""
+    return op06_substring_dedup.report(table(spark, sf_dir, "documents"), window=50)
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 400-byte strings that start more than once in the documents."""
+    return op10_suffix_dedup.report(table(spark, sf_dir, "documents"), length=400)
