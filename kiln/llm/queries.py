@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kiln.llm import op03_near_dedup, op06_substring_dedup, op08_decontaminate, op10_suffix_dedup
+from kiln.llm import op01_quality, op02_toxicity, op03_near_dedup, op06_substring_dedup, op08_decontaminate, op09_language, op10_suffix_dedup
 from kiln.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 400-byte strings that start more than once in the documents."""
     return op10_suffix_dedup.report(table(spark, sf_dir, "documents"), length=400)
+
+
+@query("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and likelihood ratio against documents labelled good."""
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return op01_quality.report(table(spark, sf_dir, "documents"), trusted)
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by its nearest centroid."""
+    return op09_language.report(table(spark, sf_dir, "documents"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document after deobfuscation."""
+    return op02_toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("marks")
