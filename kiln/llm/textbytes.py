@@ -125,11 +125,19 @@ def words_of(column: pa.Array, alphabet: np.ndarray = NON_SPACE, fold: np.ndarra
     after = np.zeros(len(data), dtype=bool)
     after[:-1] = inside[1:]
     end = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    up, down = powers(_P, len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    word_hash = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _Q)
-    return Words(data, offsets, start, end, word_hash, np.searchsorted(start, offsets))
+    return Words(data, offsets, start, end, Spans(data).hash(start, end), np.searchsorted(start, offsets))
+
+
+class Spans:
+    """Hashes of byte ranges of one buffer."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = powers(_P, len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=self.sums[1:])
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64) * _Q)
 
 
 def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
