@@ -10,13 +10,19 @@
    member (a star, not all pairs). Pairs whose sketches and set sizes allow the
    similarity are checked on the full sets.
 4. Links give components. Members of a bucket that are still in another
-   component than the bucket's smallest member are then paired with the
-   bucket's members of other components, so no candidate link is lost, while a
-   large group of copies, joined by its star, makes no pairs of its own.
-
-At similarity 0.8 a pair shares no band with probability
-(1 - 0.8^4)^24 < 3e-6; the sketch bound dismisses a true pair with less than
-1e-8 (``ALLOWED_DIFFERENT`` is over eight standard deviations above the mean).
+   component than the bucket's smallest member may yet be linked with other
+   members. In buckets of at most ``SMALL`` members they are paired with those
+   (so many pairs for each member at most). In larger ones, groups of near
+   copies that are no star, a prefix-filtered join finds the pairs: with the
+   smallest member's set L, two sets a and x are similar only if their
+   differences from L overlap in (|a+L| + |x+L| - t) / 2 elements (+ is the
+   symmetric difference, t the largest |a+x| that the sizes and the threshold
+   allow), so they share one of the rarest elements of the differences. Copies
+   with edits of their own share none, and make no pairs.
+
+No candidate is dropped in step 4. At similarity 0.8 a pair shares no band with
+probability (1 - 0.8^4)^24 < 3e-6; the sketch bound dismisses a true pair with
+about 1e-8 (``ALLOWED_DIFFERENT`` is six standard deviations above the mean).
 
 Defined results: texts that are null or have no words have the empty set and
 link with nothing; with fewer words than a shingle the whole sequence is one
@@ -30,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.llm.frames import col, stored
@@ -40,7 +46,9 @@ from kiln.llm.textbytes import LOWER, NON_SPACE, bound_batches, inside_one_text,
 BANDS, ROWS = 24, 4
 SKETCH_BITS = 512
 #: Of BANDS * ROWS samples, so many may differ by the sketch's estimate (mean at 0.8: 19, deviation 3.9).
-ALLOWED_DIFFERENT = 54
+ALLOWED_DIFFERENT = 43
+#: Members of a bucket up to which pairs are made directly.
+SMALL = 32
 #: Same threshold as a bound of the XOR's population count.
 XOR_BOUND = int(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * ALLOWED_DIFFERENT)))
 
@@ -153,6 +161,39 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
             .filter(100 * common >= percent * (F.size("s1") + F.size("s2") - common)).select("a", "b"))
 
 
+def _small_rest(placed: DataFrame) -> DataFrame:
+    """Pairs of small buckets' members in different components, one of them not in the leader's."""
+    apart = placed.filter("component <> main").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
+    other = placed.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"), "main")
+    return apart.join(other, "bucket").filter("ca <> cb and (cb = main or a < b)").select("a", "b")
+
+
+def _large_rest(placed: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The same for large buckets, by a prefix join on the sets' differences from their leader's."""
+    group = placed.groupBy("leader", "id").agg(F.first("component").alias("component"), F.first("main").alias("main"))
+    group = group.join(group.filter("component <> main").select("leader").distinct(), "leader", "left_semi")
+    group = stored(group.withColumn("apart", F.col("component") != F.col("main")))
+    wanted = group.select("id").union(group.select("leader")).distinct()
+    sets = stored(_sets_of(texts.join(wanted, "id").select("id", "text"), shingle))
+    differ = (group.join(sets.toDF("id", "s"), "id").join(sets.toDF("leader", "l"), "leader")
+              .select("leader", "id", "component", "apart", F.size("s").alias("n"),
+                      F.concat(F.array_except("s", "l"), F.array_except("l", "s")).alias("elements"))
+              .select("leader", "id", "component", "apart", "n", F.size("elements").alias("d"), F.explode("elements").alias("element")))
+    differ = stored(differ)
+    often = differ.groupBy("leader", "element").agg(F.count(F.lit(1)).alias("often"))
+    rarest = Window.partitionBy("leader", "id").orderBy("often", "element")
+    # alone in its group, an element finds nobody, but it keeps its place in the order
+    ranked = stored(differ.join(often, ["leader", "element"]).withColumn("place", F.row_number().over(rarest)).filter("often > 1"))
+    a = ranked.filter("apart").select("leader", "element", *[F.col(c).alias(f"{c}1") for c in ("id", "component", "n", "d", "place")])
+    b = ranked.select("leader", "element", "apart", *[F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "d", "place")])
+    most = (F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent)
+    fits = ((F.col("component1") != F.col("component2")) & (~F.col("apart") | (F.col("id1") < F.col("id2")))
+            & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2"))
+            & (2 * (F.col("place1") - 1) <= F.col("d1") - F.col("d2") + most)
+            & (2 * (F.col("place2") - 1) <= F.col("d2") - F.col("d1") + most))
+    return a.join(b, ["leader", "element"]).filter(fits).select(F.col("id1").alias("a"), F.col("id2").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """(id, n_shingles, component) for every row of ``docs``; component is the smallest linked id."""
@@ -164,21 +205,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(known.join(smallest, ["same1", "same2", "id"]).select("id", "n", "bands", "sketch", "same1", "same2")
                      .dropDuplicates(["id", "same1", "same2"]))
     buckets = classes.select("id", F.explode("bands").alias("bucket"))
-    leaders = buckets.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    members = stored(buckets.join(leaders.select("bucket", "leader"), "bucket"))
+    leaders = buckets.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = stored(buckets.join(leaders, "bucket"))
     star = members.filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(_verified(star, classes, texts, shingle, percent))
     same = known.join(smallest.withColumnRenamed("id", "b"), ["same1", "same2"]).filter("id <> b").select(
         F.col("b").alias("a"), F.col("id").alias("b"))
-    # members left in another component than their bucket's leader
+    # members left in another component than their bucket's leader, where the bucket has others
     label = components(links)
-    placed = members.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn(
+    placed = members.filter("size > 2 and id <> leader").join(label.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     of_leader = label.select(F.col("node").alias("leader"), F.col("component").alias("main"))
     placed = stored(placed.join(of_leader, "leader", "left").withColumn("main", F.coalesce("main", "leader")))
-    apart = placed.filter("component <> main").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
-    other = placed.filter("id <> leader").select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"), "main")
-    rest = (apart.join(other, "bucket").filter("ca <> cb and (cb = main or a < b)").select("a", "b").distinct())
+    rest = _small_rest(placed.filter(F.col("size") <= SMALL)).union(
+        _large_rest(placed.filter(F.col("size") > SMALL), texts, shingle, percent)).distinct()
     more = _verified(rest, classes, texts, shingle, percent)
     label = components(links.union(more).union(same))
     return (rows.select("id", F.col("n").alias("n_shingles"))
