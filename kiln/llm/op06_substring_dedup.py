@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.frames import col, stored
-from kiln.llm.packed import SCHEMA, Packer, answers, bucket_bits, key_of, unpack, whole_key
+from kiln.llm.packed import SCHEMA, Packer, answers, bucket_bits, by_id, key_of, unpack, whole_key
 from kiln.llm.textbytes import Words, bound_batches, covered, inside_one_text, runs, slices, window_hashes, words_of
 
 #: Bytes of a probe's hash that travel beside its bucket: enough to find anchors, as false ones are dropped later.
@@ -72,11 +72,10 @@ def anchors(texts: DataFrame, block: int, bits: int) -> DataFrame:
         np.maximum.at(largest, at, ids)
         live = (largest > smallest)[at] if len(index) else hit[:0]
         bucket = group.column("bucket")[0].as_py()
-        return answers(ids[live], whole_key(bucket, index[at[live]], bits, PROBE_BYTES))
+        return answers(ids[live], whole_key(bucket, index[at[live]], bits, PROBE_BYTES), bits)
 
     packed = texts.filter("id is not null").mapInArrow(probe, SCHEMA)
-    found = packed.groupBy("bucket").applyInArrow(match, "id long, keys array<long>")
-    return found.groupBy("id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    return by_id(packed.groupBy("bucket").applyInArrow(match, SCHEMA), "keys")
 
 
 def repeated_windows(texts: DataFrame, found: DataFrame, window: int, bits: int) -> DataFrame:
@@ -113,11 +112,10 @@ def repeated_windows(texts: DataFrame, found: DataFrame, window: int, bits: int)
         smallest = np.full(len(index), np.iinfo(np.int64).max)
         np.minimum.at(smallest, where, ids)
         again = ids > smallest[where]
-        return answers(ids[again], whole_key(group.column("bucket")[0].as_py(), keys[again], bits, 8))
+        return answers(ids[again], whole_key(group.column("bucket")[0].as_py(), keys[again], bits, 8), bits)
 
     packed = texts.join(found, "id").select("id", "text", "keys").mapInArrow(extend, SCHEMA)
-    judged = packed.groupBy("bucket").applyInArrow(judge, "id long, keys array<long>")
-    return judged.groupBy("id").agg(F.flatten(F.collect_list("keys")).alias("windows"))
+    return by_id(packed.groupBy("bucket").applyInArrow(judge, SCHEMA), "windows")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50,

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.llm.textbytes import mix
+
 SCHEMA = "bucket int, ids binary, counts binary, keys binary, flags binary"
 #: Pairs that a task collects before it emits rows.
 FLUSH = 2_000_000
@@ -90,13 +92,37 @@ def whole_key(bucket: int, keys: np.ndarray, bits: int, key_bytes: int) -> np.nd
     return (np.uint64(bucket) << np.uint64(width)) | (keys >> np.uint64(8 * key_bytes - width))
 
 
-def answers(ids: np.ndarray, keys: np.ndarray) -> pa.Table:
-    """(id, keys) rows, each id once with its distinct keys."""
-    order = np.lexsort((keys, ids))
-    ids, keys = ids[order], keys[order]
+def answers(ids: np.ndarray, keys: np.ndarray, bits: int) -> pa.Table:
+    """Packed rows of (id, key) answers, dealt out by a hash of the id: a row for each
+    id bucket touched, not for each id."""
+    route = (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.lexsort((keys, ids, route))
+    ids, keys, route = ids[order], keys[order], route[order]
     new = np.ones(len(ids), bool)
     new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
-    ids, keys = ids[new], keys[new]
-    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else np.zeros(0, np.int64)
-    return pa.table({"id": pa.array(ids[first], pa.int64()), "keys": pa.ListArray.from_arrays(
-        pa.array(np.append(first, len(ids)).astype(np.int32)), pa.array(keys.view(np.int64)))})
+    ids, keys, route = ids[new], keys[new], route[new]
+    edges = np.append(np.flatnonzero(np.concatenate(([True], route[1:] != route[:-1]))), len(route)) if len(ids) else [0]
+    out: dict[str, list] = {"bucket": [], "ids": [], "counts": [], "keys": [], "flags": []}
+    for a, b in zip(edges[:-1], edges[1:]):
+        first = np.flatnonzero(np.concatenate(([True], ids[a + 1:b] != ids[a:b - 1])))
+        out["bucket"].append(int(route[a]))
+        out["ids"].append(np.diff(ids[a:b][first], prepend=0).astype(np.int64).tobytes())
+        out["counts"].append(np.diff(np.append(first, b - a)).astype(np.uint32).tobytes())
+        out["keys"].append(keys[a:b].tobytes())
+        out["flags"].append(b"")
+    return pa.table({"bucket": pa.array(out["bucket"], pa.int32())} | {
+        c: pa.array(out[c], pa.binary()) for c in ("ids", "counts", "keys", "flags")})
+
+
+def by_id(answered: DataFrame, name: str) -> DataFrame:
+    """(id, ``name``): all keys of each id from packed answers."""
+
+    def gather(group: pa.Table) -> pa.Table:
+        keys, ids, _ = unpack(group, 8)
+        order = np.argsort(ids, kind="stable")
+        keys, ids = keys[order], ids[order]
+        first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        return pa.table({"id": pa.array(ids[first], pa.int64()), name: pa.ListArray.from_arrays(
+            pa.array(np.append(first, len(ids)).astype(np.int32)), pa.array(keys.view(np.int64)))})
+
+    return answered.groupBy("bucket").applyInArrow(gather, f"id long, {name} array<long>")
