@@ -38,13 +38,13 @@ from pyspark.sql import types as T
 
 from kiln.llm.frames import col, packed, stored
 from kiln.llm.lyndon import suffix_array
-from kiln.llm.packed import SCHEMA, Packer, answers, bucket_bits, unpack, whole_key
+from kiln.llm.packed import SCHEMA, Packer, answers, bucket_bits, by_id, unpack, whole_key
 from kiln.llm.textbytes import bound_batches, flat, mix, powers, runs, slices
 
 GRAM = 128
 SYMBOL = 32
 #: Symbols sorted in one suffix array at most, unless one anchor alone has more.
-BUNDLE = 60_000
+BUNDLE = 30_000
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -109,10 +109,9 @@ def repeated_anchors(texts: DataFrame, length: int, bits: int) -> DataFrame:
         keys, ids, _ = unpack(group, 8)
         _, where, n = np.unique(keys, return_inverse=True, return_counts=True)
         live = n[where] > 1
-        return answers(ids[live], whole_key(group.column("bucket")[0].as_py(), keys[live], bits, 8))
+        return answers(ids[live], whole_key(group.column("bucket")[0].as_py(), keys[live], bits, 8), bits)
 
-    found = texts.mapInArrow(run, SCHEMA).groupBy("bucket").applyInArrow(again, "id long, keys array<long>")
-    return found.groupBy("id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    return by_id(texts.mapInArrow(run, SCHEMA).groupBy("bucket").applyInArrow(again, SCHEMA), "keys")
 
 
 _CONTEXT = "bucket int, gram long, id long, place long, first long, last long, bytes binary"
@@ -131,9 +130,7 @@ def contexts(texts: DataFrame, found: DataFrame, length: int, bits: int) -> Data
                 live = np.zeros(len(h), bool)
                 for i, keys in enumerate(part.column(2)):
                     a, b = low[i], low[i + 1]
-                    # the lowest bits of a hash do not travel with the key
-                    own = (keys.values.to_numpy().view(np.uint64) >> np.uint64(bits)) << np.uint64(bits)
-                    live[a:b] = np.isin((h[a:b] >> np.uint64(bits)) << np.uint64(bits), own)
+                    live[a:b] = np.isin(h[a:b], keys.values.to_numpy().view(np.uint64))
                 h, text, place, first, last = (x[live] for x in (h, text, place, first, last))
                 raw, base = data.tobytes(), offsets[text]
                 strings = [raw[s:e] for s, e in zip((base + first).tolist(), (base + last + length).tolist())]
@@ -267,7 +264,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
     texts = _keyed(docs, id_col, text_col)
     bits = bucket_bits(texts, "text", 12_000_000)
     found = stored(repeated_anchors(texts, length, bits))
-    return stored(repeated_spans(contexts(texts, found, length, bits), length))
+    return stored(repeated_spans(contexts(texts, found, length, bits + 3), length))  # contexts take more room than keys
 
 
 def merged(spans: np.ndarray, n: int) -> np.ndarray:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 1_000_000
 BATCH_BYTES = "8m"
 
 # Odd multipliers of the polynomial and finalising hashes.
