@@ -139,7 +139,8 @@ class TargetEncoder(Estimator):
             stats = df.groupingSets([[c], []], c).agg(
                 F.count(y).alias("_n"), F.avg(y).alias("_mean"), F.grouping_id(c).alias("_gid")).persist()
             head = stats.limit(ParamTable.COLLECT_MAX_ROWS + 2).collect()
-            prior = next(r["_mean"] for r in head if r["_gid"] == 1) if prior is None else prior
+            if prior is None:  # by its own filter: the head need not hold the total
+                prior = stats.filter("_gid = 1").first()["_mean"]
             schema = T.StructType([df.schema[c], T.StructField("_enc", T.DoubleType())])
             if len(head) <= ParamTable.COLLECT_MAX_ROWS + 1:
                 rows = []
@@ -174,9 +175,8 @@ class TargetEncoder(Estimator):
                 F.count(y).alias("_nf"), F.sum(y).alias("_sf"), F.grouping_id(c, "_fold").alias("_gid")).persist()
             head = stats.limit(ParamTable.COLLECT_MAX_ROWS + self.n_folds + 1).collect()
             if fold_prior is None:
-                ft = [(r["_fold"], r["_nf"], r["_sf"] or 0.0) for r in head if r["_gid"] == 2]
-                if len(ft) < len({r["_fold"] for r in head}):
-                    ft = [(r["_fold"], r["_nf"], r["_sf"] or 0.0) for r in stats.filter("_gid = 2").collect()]
+                # n_folds rows, by their own filter: the head need not hold them
+                ft = [(r["_fold"], r["_nf"], r["_sf"] or 0.0) for r in stats.filter("_gid = 2").collect()]
                 n_all, s_all = sum(n for _, n, _ in ft), sum(v for _, _, v in ft)
                 priors = {f: ((s_all - v) / (n_all - n) if n_all > n else None) for f, n, v in ft}
                 fold_prior = F.map_from_arrays(F.array(*[F.lit(int(k)) for k in priors]),

@@ -29,8 +29,7 @@ class LinearTrainer:
 
     ``estimator`` may be any Spark ML regressor taking ``featuresCol`` /
     ``labelCol`` (M2: pluggable algorithm); default is unregularised OLS.
-    Rows with a null label or feature are dropped before fitting (the count
-    is kept in ``dropped_rows``).
+    Rows with a null label or feature are dropped before fitting.
     """
 
     features: Sequence[str]
@@ -111,16 +110,32 @@ def quality_gate(metrics: DataFrame, min_r2: float = R.MIN_R2) -> DataFrame:
                           F.coalesce(F.col("r2") >= F.lit(float(min_r2)), F.lit(False)).alias("passed"))
 
 
+class QualityGateError(RuntimeError):
+    """A trained model is below the minimum R²."""
+
+
+def require_quality(gate: DataFrame) -> None:
+    """M8, enforcing: raise unless every row of ``quality_gate`` passed."""
+    failed = gate.filter(~F.col("passed")).collect()  # one row per model
+    if failed:
+        raise QualityGateError("; ".join(f"{r['model']}: r2 {r['r2']} < {r['min_r2']}" for r in failed))
+
+
 def champion_challenger(df: DataFrame, label: str, p_new: str, p_old: str | None,
                         min_improvement: float = 0.0) -> DataFrame:
     """Both R² on the same rows in one aggregation; accept the
-    challenger when r2_new - r2_old > min_improvement (no champion -> r2_old 0)."""
+    challenger when r2_new - r2_old > min_improvement (no champion -> r2_old 0).
+
+    Same rows: those with a label and every prediction compared."""
     y = F.col(label)
     aggs = []
+    both = y.isNotNull()
+    for p in (p_new, p_old):
+        if p is not None:
+            both = both & F.col(p).isNotNull()
     for tag, p in (("new", p_new), ("old", p_old)):
         if p is None:
             continue
-        both = y.isNotNull() & F.col(p).isNotNull()
         e = F.when(both, y - F.col(p))
         aggs += [F.sum(e * e).alias(f"_sse_{tag}"), (F.var_pop(F.when(both, y)) * F.count(e)).alias(f"_sst_{tag}")]
     agg = df.agg(*aggs)

@@ -17,6 +17,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, FloatType, Int
                                StringType, TimestampNTZType, TimestampType)
 
 from kiln.functions.stats import chi2_sf, dagostino_k2
+from kiln.session import materialize
 
 SQL_TYPE_NAMES = {StringType: "VARCHAR", LongType: "BIGINT", IntegerType: "INTEGER", DoubleType: "DOUBLE",
                   FloatType: "FLOAT", BooleanType: "BOOLEAN", DateType: "DATE", TimestampType: "TIMESTAMP",
@@ -205,27 +206,30 @@ def share_pivot(df: DataFrame, row: str, col: str, max_values: int = 1000) -> Da
     return shares.groupBy(row).pivot(col, values).agg(F.first("share")).fillna(0.0)
 
 
-def prefix_before(df: DataFrame, order: Sequence[Column], weight: str, partitions: int | None = None,
-                  out: str = "before") -> DataFrame:
-    """Distributed exclusive prefix sum of ``weight`` in ``order``.
+def prefix_before(df: DataFrame, order: Sequence[Column], weights: dict[str, str],
+                  partitions: int | None = None) -> DataFrame:
+    """Distributed exclusive prefix sums in ``order``: for each ``out: weight``.
 
-    Range-partition the (already reduced) rows into ``partitions`` ranges
-    (default: the session's shuffle partitions), total each range, turn the
-    small totals table into offsets, and add a per-range running sum. Only one
-    total per range reaches the driver.
+    The (already reduced) rows are range-partitioned and checkpointed together
+    with their range, since another evaluation of the partitioning would sample
+    other bounds. Each range is totalled, the small totals table gives offsets,
+    and a running sum is added per range. Only one row per range reaches the
+    driver.
     """
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = df.repartitionByRange(n_parts, *order).withColumn("_pid", F.spark_partition_id())
-    totals = sorted(ranged.groupBy("_pid").agg(F.sum(weight).alias("t")).collect())
-    offsets, run = {}, 0
-    for pid, t in totals:
-        offsets[pid] = run
-        run += t
-    off = F.map_from_arrays(F.array(*[F.lit(p) for p in offsets]), F.array(*[F.lit(v) for v in offsets.values()])) \
-        if offsets else F.create_map()
+    ranged = materialize(df.repartitionByRange(n_parts, *order).withColumn("_pid", F.spark_partition_id()), "checkpoint")
+    totals = sorted(ranged.groupBy("_pid").agg(*[F.sum(w).alias(out) for out, w in weights.items()]).collect())
     w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    within = F.coalesce(F.sum(weight).over(w), F.lit(0))
-    return ranged.withColumn(out, (off[F.col("_pid")] + within).cast("double")).drop("_pid")
+    before = {}
+    for out, weight in weights.items():
+        offsets, run = {}, 0
+        for t in totals:
+            offsets[t["_pid"]] = run
+            run += t[out]
+        off = F.map_from_arrays(F.array(*[F.lit(p) for p in offsets]), F.array(*[F.lit(v) for v in offsets.values()])) \
+            if offsets else F.create_map()
+        before[out] = (off[F.col("_pid")] + F.coalesce(F.sum(weight).over(w), F.lit(0))).cast("double")
+    return ranged.withColumns(before).drop("_pid")
 
 
 def kruskal_wallis(df: DataFrame, value: str, group: str, alpha: float = 0.05) -> DataFrame:
@@ -233,7 +237,7 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, alpha: float = 0.05) -
     base = df.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
     vg = base.groupBy(value, group).agg(F.count(F.lit(1)).alias("c"))
     dv = vg.groupBy(value).agg(F.sum("c").alias("t"))
-    ranked = prefix_before(dv, [F.col(value)], "t").withColumn("avg_rank", F.col("before") + (F.col("t") + 1) / 2.0)
+    ranked = prefix_before(dv, [F.col(value)], {"before": "t"}).withColumn("avg_rank", F.col("before") + (F.col("t") + 1) / 2.0)
     ties = ranked.agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("tt"), F.sum("t").alias("n")).first()
     rg = vg.join(ranked.select(value, "avg_rank"), value).groupBy(group).agg(
         F.sum(F.col("c") * F.col("avg_rank")).alias("r"), F.sum("c").alias("ng"))
@@ -276,8 +280,7 @@ def pareto_coverage(df: DataFrame, col: str, threshold: float = 0.8) -> DataFram
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 1
     order = [F.desc("n"), F.col("value")]
-    pos = prefix_before(counts.withColumn("one", F.lit(1)), order, "one", out="rank_before")
-    cum = prefix_before(pos, order, "n")
+    cum = prefix_before(counts.withColumn("one", F.lit(1)), order, {"rank_before": "one", "before": "n"})
     return cum.select((F.col("rank_before").cast("bigint") + 1).alias("position"), "value", "n",
                       (F.col("n") / F.lit(total)).alias("share"),
                       ((F.col("before") + F.col("n")) / F.lit(total)).alias("cum_share"),

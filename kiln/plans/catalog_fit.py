@@ -279,6 +279,21 @@ def target_encode(spark, sf):
     return E.TargetEncoder().fit(df).transform(df).select("listing_id", "brand")
 
 
+@register("target_encode_wide", f"""
+WITH prior AS (SELECT avg(l_extendedprice) AS p FROM lineitem),
+st AS (SELECT l_orderkey, count(*) AS n, avg(l_extendedprice) AS m FROM lineitem GROUP BY l_orderkey)
+SELECT s.l_orderkey AS orderkey, s.l_linenumber AS linenumber,
+       round(p * (1 - {Q.lam('n')}) + m * {Q.lam('n')}, 3) AS encoded
+FROM lineitem s JOIN st ON s.l_orderkey = st.l_orderkey, prior""")
+def target_encode_wide(spark, sf):
+    """E2 on a key of more categories than are ever collected: extended price by order."""
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"), "l_orderkey", F.col("l_linenumber").alias("linenumber"),
+        F.col("l_extendedprice").cast("double").alias("l_extendedprice"))
+    out = E.TargetEncoder(["l_orderkey"], target="l_extendedprice", key="orderkey").fit(rows).transform(rows)
+    return out.select("orderkey", "linenumber", F.round("l_orderkey", 3).alias("encoded"))
+
+
 @register("target_encode_oof", Q.with_ctes(*P, Q.OOF_SQL, body="SELECT listing_id, brand FROM oof"))
 def target_encode_oof(spark, sf):
     """5-fold out-of-fold brand encoding in one aggregation pass."""

@@ -192,6 +192,24 @@ def kruskal_wallis(spark, sf):
     return X.kruskal_wallis(o, "order_year", "o_orderpriority")
 
 
+@register("kruskal_wallis_wide", """
+WITH t AS (SELECT o_totalprice AS v, o_orderpriority AS g FROM orders
+           WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL),
+dv AS (SELECT v, count(*) AS c FROM t GROUP BY v),
+rk AS (SELECT v, c, sum(c) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM dv),
+ar AS (SELECT v, coalesce(before, 0) + (c + 1) / 2.0 AS r FROM rk),
+rg AS (SELECT g, sum(ar.r) AS rs, count(*) AS ng FROM t JOIN ar USING (v) GROUP BY g),
+st AS (SELECT (SELECT count(*) FROM t) AS n, (SELECT sum(c * c * c - c) FROM dv) AS tt,
+              (SELECT sum(rs * rs / ng) FROM rg) AS s, (SELECT count(*) FROM rg) AS k),
+hh AS (SELECT n, k, (12.0 / (n * (n + 1.0)) * s - 3.0 * (n + 1)) / (1 - tt / (pow(n, 3) - n)) AS h FROM st)
+SELECT k, n, round(h, 4) AS h FROM hh""")
+def kruskal_wallis_wide(spark, sf):
+    """X16 on a column of nearly as many values as rows: total price across order priorities."""
+    o = table(spark, sf, "orders").select(F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderpriority")
+    return X.kruskal_wallis(o, "o_totalprice", "o_orderpriority").select(
+        F.col("k").cast("bigint").alias("k"), "n", F.round("h", 4).alias("h"))
+
+
 @register("top_n_categories", "SELECT p_brand AS value, count(*) AS n FROM part WHERE p_brand IS NOT NULL "
                               "GROUP BY p_brand ORDER BY n DESC, value LIMIT 20")
 def top_n_categories(spark, sf):
@@ -225,6 +243,17 @@ def pareto_coverage(spark, sf):
     return X.pareto_coverage(table(spark, sf, "part"), "p_type", 0.8)
 
 
+@register("pareto_wide", """
+WITH c AS (SELECT l_orderkey AS value, count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey),
+r AS (SELECT value, n, row_number() OVER (ORDER BY n DESC, value) AS position,
+             sum(n) OVER (ORDER BY n DESC, value ROWS UNBOUNDED PRECEDING) AS cum FROM c)
+SELECT position, value, n, n / (SELECT sum(n) FROM c) AS share, cum / (SELECT sum(n) FROM c) AS cum_share,
+       cum / (SELECT sum(n) FROM c) >= 0.8 AS reached FROM r""")
+def pareto_wide(spark, sf):
+    """X20 on a column of very many values: line items per order."""
+    return X.pareto_coverage(table(spark, sf, "lineitem"), "l_orderkey", 0.8)
+
+
 # ------------------------------------------------------------------ X21, X24
 
 K2_SQL = """

@@ -142,6 +142,9 @@ def publish(spark: SparkSession, bundle, registry_root: str, name: str, r2: floa
     ts = ts or datetime.now(timezone.utc)
     version = version_name(ts)
     path = f"{registry_root.rstrip('/')}/{name}/{version}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        raise FileExistsError(f"{path} is published already")  # versions have a precision of one second
     save_model(bundle, path, spark)
     row = spark.createDataFrame([(name, version, path, r2, ts.replace(tzinfo=None))], REGISTRY_SCHEMA)
     row.write.mode("append").parquet(f"{registry_root.rstrip('/')}/_registry")
