@@ -86,7 +86,8 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (text[1:] != text[:-1]))))
     last = np.append(new[1:], len(start)) - 1
     text, base = text[new], offsets[text[new]]
-    return h[least[new]], text, least[new] - base, start[new] - base, start[last] - base
+    # minimal hashes are small ones: mixed again, they spread over the buckets
+    return mix(h[least[new]] + _BASE), text, least[new] - base, start[new] - base, start[last] - base
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
