@@ -81,8 +81,8 @@ def test_quality_counts_and_empty(spark, docs, rows):
 
 
 def test_quality_rejects_words_that_trusted_text_lacks(spark):
-    good = [(i, " ".join(f"g{(i * 7 + k) % 50}" for k in range(60)), 1) for i in range(40)]
-    bad = [(100 + i, " ".join(f"###{(i * 5 + k) % 50}" for k in range(60)), 0) for i in range(10)]
+    good = [(i, " ".join(f"g{(i * 7 + k) % 50}" for k in range(45)), 1) for i in range(40)]
+    bad = [(100 + i, " ".join(f"###{(i * 5 + k) % 50}" for k in range(45)), 0) for i in range(10)]
     df = spark.createDataFrame(good + bad, "doc_id long, text string, quality int")
     kept = {r["doc_id"] for r in op01_quality.quality_filter(df, df.filter("quality = 1")).collect()}
     assert kept == set(range(40))
@@ -279,8 +279,8 @@ def test_extraction(spark):
     text = "T <x>\nA b c & d\none\ntwo\nx < y"
     assert got[1] == got[2] == (text, len(text))
     assert got[3][0] == got[6][0] == "only text of some length" and got[4] == got[5] == ("", 0)
-    wrapper = op04_extract.aligned([(t, False) for t in ["<a>", "#", "<p>"]], ["<a>", "<p>", "#"])
-    assert op04_extract.written(wrapper) == "<a> (#)? <p> (#)?"
+    wrapper = op04_extract.aligned([(t, False) for t in ["<a>", "#", "</a>"]], ["<a>", "</a>", "<hr>"])
+    assert op04_extract.written(wrapper) == "<a> (#)? </a> (<hr>)?"
     assert op04_extract.folded("<li> # <li> # <li> # </ul>".split()) == ["(<li> #)+", "</ul>"]
 
 
