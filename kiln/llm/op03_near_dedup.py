@@ -155,7 +155,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: in
         pairs.join(side.toDF("a", "n1", "sketch1"), "a").join(side.toDF("b", "n2", "sketch2"), "b")
         .filter(_may_be_similar(percent)).select("a", "b"))
     wanted = hopeful.select(F.col("a").alias("id")).union(hopeful.select("b")).distinct()
-    sets = stored(_sets_of(docs.join(wanted, "id").select("id", "text"), shingle))
+    # by a shuffle at every size, so that what small inputs need tells what large ones do
+    sets = stored(_sets_of(docs.join(wanted.hint("merge"), "id").select("id", "text"), shingle))
     common = F.size(F.array_intersect("s1", "s2"))
     return (hopeful.join(sets.toDF("a", "s1"), "a").join(sets.toDF("b", "s2"), "b")
             .filter(100 * common >= percent * (F.size("s1") + F.size("s2") - common)).select("a", "b"))
@@ -174,16 +175,16 @@ def _large_rest(placed: DataFrame, texts: DataFrame, shingle: int, percent: int)
     group = group.join(group.filter("component <> main").select("leader").distinct(), "leader", "left_semi")
     group = stored(group.withColumn("apart", F.col("component") != F.col("main")))
     wanted = group.select("id").union(group.select("leader")).distinct()
-    sets = stored(_sets_of(texts.join(wanted, "id").select("id", "text"), shingle))
+    sets = stored(_sets_of(texts.join(wanted.hint("merge"), "id").select("id", "text"), shingle))
     differ = (group.join(sets.toDF("id", "s"), "id").join(sets.toDF("leader", "l"), "leader")
               .select("leader", "id", "component", "apart", F.size("s").alias("n"),
                       F.concat(F.array_except("s", "l"), F.array_except("l", "s")).alias("elements"))
               .select("leader", "id", "component", "apart", "n", F.size("elements").alias("d"), F.explode("elements").alias("element")))
     differ = stored(differ)
-    often = differ.groupBy("leader", "element").agg(F.count(F.lit(1)).alias("often"))
+    counted = differ.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("leader", "element")))
     rarest = Window.partitionBy("leader", "id").orderBy("often", "element")
     # alone in its group, an element finds nobody, but it keeps its place in the order
-    ranked = stored(differ.join(often, ["leader", "element"]).withColumn("place", F.row_number().over(rarest)).filter("often > 1"))
+    ranked = stored(counted.withColumn("place", F.row_number().over(rarest)).filter("often > 1"))
     a = ranked.filter("apart").select("leader", "element", *[F.col(c).alias(f"{c}1") for c in ("id", "component", "n", "d", "place")])
     b = ranked.select("leader", "element", "apart", *[F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "d", "place")])
     most = (F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent)
