@@ -5,8 +5,8 @@
    ``(...)+``. Pages of a host share few such skeletons, so per host only the
    distinct ones are kept (counted with partial aggregation), together with the
    sum of text under each container.
-2. Per host the skeletons are aligned one after the other with the wrapper so
-   far. Text against text is a slot; tokens that only one side has become
+2. Per host the skeletons, dealt over ``PARTS`` groups, are aligned one after the
+   other with the group's wrapper so far, then the groups' wrappers with each other. Text against text is a slot; tokens that only one side has become
    optional ``(...)?``; what then repeats next to itself is folded again. The
    result is a regular expression without unions.
 3. The wrapper's main container is the article (or main) element with the most
@@ -30,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,6 +54,9 @@ BESIDE = set("ad ads advert adverts advertisement advertising sponsor sponsored
              "toolbar pagination pager search form".split())
 MAIN_WORDS = set("article content main post entry story".split())
 
+#: Groups that a host's distinct skeletons are dealt over before they are aligned.
+PARTS = 64
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-zA-Z]+")
@@ -165,15 +169,16 @@ def folded(tokens: list[str], longest: int = 12) -> list[str]:
     return out
 
 
-def aligned(wrapper: list[tuple[str, bool]], page: list[str]) -> list[tuple[str, bool]]:
-    """The wrapper (tokens, and whether each is optional) that also fits the page."""
+def aligned(wrapper: list[tuple[str, bool]], page: list[str | tuple[str, bool]]) -> list[tuple[str, bool]]:
+    """The wrapper (tokens, and whether each is optional) that also fits the page (plain tokens) or other wrapper."""
+    other = [(t, False) if isinstance(t, str) else t for t in page]
     out: list[tuple[str, bool]] = []
-    matcher = SequenceMatcher(None, [t for t, _ in wrapper], page, autojunk=False)
+    matcher = SequenceMatcher(None, [t for t, _ in wrapper], [t for t, _ in other], autojunk=False)
     for op, a, b, c, d in matcher.get_opcodes():
         if op == "equal":
-            out += wrapper[a:b]
+            out += [(t, x or y) for (t, x), (_, y) in zip(wrapper[a:b], other[c:d])]
         else:
-            out += [(t, True) for t, _ in wrapper[a:b]] + [(t, True) for t in page[c:d]]
+            out += [(t, True) for t, _ in wrapper[a:b] + other[c:d]]
     # an optional group beside its own repetition is part of it
     kept: list[tuple[str, bool]] = []
     for token, optional in out:
@@ -239,24 +244,35 @@ def wrappers(rows: DataFrame) -> DataFrame:
                 [pa.array([k[i] for k in keys], pa.string()) for i in range(3)] + [pa.array([seen[k] for k in keys], pa.int64())],
                 ["host", "kind", "what", "n"])
 
-    def infer(group: pa.Table) -> pa.Table:
+    def merge(group: pa.Table) -> tuple[list[tuple[str, int, str]], str, int]:
+        """All rows (kind, n, what) in order, the skeletons' common wrapper and their pages."""
         rows = sorted(zip(*(group.column(c).to_pylist() for c in ("kind", "n", "what"))), key=lambda r: (r[0], -r[1], r[2]))
-        wrapper: list[tuple[str, bool]] | None = None
-        for kind, _, what in rows:
-            if kind == "s":
-                tokens = _tokens(what)
-                wrapper = aligned(wrapper, tokens) if wrapper is not None else [(t, False) for t in tokens]
+        skeletons = [_tokens(what) for kind, _, what in rows if kind == "s"]
+        return rows, written(reduce(aligned, skeletons)) if skeletons else "", sum(n for kind, n, _ in rows if kind == "s")
+
+    def part(group: pa.Table) -> pa.Table:
+        rows, wrapper, pages = merge(group)
+        rows = [r for r in rows if r[0] == "p"] + ([("s", pages, wrapper)] if pages else [])
+        return pa.table({"host": pa.array([group.column("host")[0].as_py()] * len(rows), pa.string())} | {
+            c: pa.array([r[i] for r in rows], pa.int64() if c == "n" else pa.string()) for i, c in enumerate(("kind", "n", "what"))})
+
+    def infer(group: pa.Table) -> pa.Table:
+        rows, wrapper, pages = merge(group)
         main = main_container({tuple(w.split("/")) if w else (): n for kind, n, w in rows if kind == "p"})
-        return pa.table({"host": group.column("host").slice(0, 1), "pages": pa.array([sum(n for k, n, _ in rows if k == "s")], pa.int64()),
-                         "wrapper": pa.array([written(wrapper or [])], pa.string()), "main": pa.array(["/".join(main)], pa.string())})
+        return pa.table({"host": group.column("host").slice(0, 1), "pages": pa.array([pages], pa.int64()),
+                         "wrapper": pa.array([wrapper], pa.string()), "main": pa.array(["/".join(main)], pa.string())})
 
     seen = rows.select("host", "html").mapInArrow(describe, "host string, kind string, what string, n long")
-    return (seen.groupBy("host", "kind", "what").agg(F.sum("n").alias("n")).groupBy("host")
+    seen = seen.groupBy("host", "kind", "what").agg(F.sum("n").alias("n"))
+    # a hot host's skeletons are dealt over PARTS groups, so the last step aligns at most PARTS wrappers a host
+    parts = (seen.withColumn("part", F.pmod(F.xxhash64("what"), F.lit(PARTS))).groupBy("host", "part")
+             .applyInArrow(part, "host string, kind string, n long, what string"))
+    return (parts.groupBy("host")
             .applyInArrow(infer, "host string, pages long, wrapper string, main string"))
 
 
-def _tokens(skeleton: str) -> list[str]:
-    """Top-level tokens of a folded skeleton."""
+def _tokens(skeleton: str) -> list[tuple[str, bool]]:
+    """Top-level tokens of a folded skeleton or written wrapper, and whether each is optional."""
     out, depth, begin = [], 0, 0
     for i, sign in enumerate(skeleton + " "):
         if sign == "(":
@@ -265,7 +281,8 @@ def _tokens(skeleton: str) -> list[str]:
             depth -= 1
         elif sign == " " and not depth:
             if i > begin:
-                out.append(skeleton[begin:i])
+                token = skeleton[begin:i]
+                out.append((token[1:-2], True) if token.endswith(")?") else (token, False))
             begin = i + 1
     return out
 

@@ -281,6 +281,9 @@ def test_extraction(spark):
     assert got[3][0] == got[6][0] == "only text of some length" and got[4] == got[5] == ("", 0)
     wrapper = op04_extract.aligned([(t, False) for t in ["<a>", "#", "</a>"]], ["<a>", "</a>", "<hr>"])
     assert op04_extract.written(wrapper) == "<a> (#)? </a> (<hr>)?"
+    other = op04_extract.aligned(wrapper, op04_extract._tokens("<a> (#)? (<b> #)+ </a>"))
+    assert op04_extract.written(other) == "<a> (#)? ((<b> #)+)? </a> (<hr>)?"
+    assert op04_extract._tokens(op04_extract.written(other)) == other
     assert op04_extract.folded("<li> # <li> # <li> # </ul>".split()) == ["(<li> #)+", "</ul>"]
 
 
