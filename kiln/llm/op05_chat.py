@@ -3,7 +3,7 @@
 Messages form trees: a message may have a parent in its conversation. Iterative
 self-joins double the reach of every message's pointer to its ancestors (1, 2,
 4, ... steps), adding up scores and depths, until all reach their root: as many
-joins as the logarithm of the longest path. Leaves are ranked within their
+joins as the logarithm of the longest path, each of the messages still on their way. Leaves are ranked within their
 conversation by the score of their branch (ties: deeper, then larger node id),
 and the paths of the chosen leaves are enumerated back through the same
 pointers. Each path is formatted as one conversation.
@@ -65,26 +65,27 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     # a parent that does not exist makes a root; null conversations are one conversation
     reach = stored(nodes.join(known, F.expr("conv <=> c and parent = up"), "left").select(
         "conv", "node", "up", "score", F.lit(1).cast("long").alias("depth")))
-    pointers = [reach]
-    while not reach.filter("up is not null").isEmpty():
-        a, b = reach.alias("a"), reach.alias("b")
+    steps: list[DataFrame] = []  # pointers that reach 1, 2, 4, ... messages up
+    arrived = reach.filter("up is null")
+    while not (step := reach.filter("up is not null")).isEmpty() and len(steps) <= 40:  # longer than any table: cycles
+        steps.append(step)
+        # only messages that have not met their root go on, so short conversations cost no further rounds
+        a, b = step.alias("a"), step.union(arrived).alias("b")
         reach = stored(a.join(b, F.expr("a.conv <=> b.conv and a.up = b.node"), "left").select(
             "a.conv", "a.node", F.col("b.up").alias("up"), (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"),
             (F.col("a.depth") + F.coalesce("b.depth", F.lit(0))).alias("depth")))
-        pointers.append(reach)
-        if len(pointers) > 40:  # longer than any table: what is left are cycles
-            break
+        arrived = arrived.union(reach.filter("up is null"))
     replied = nodes.filter("parent is not null").select(F.col("conv").alias("c"), F.col("parent").alias("n")).distinct()
-    leaves = (reach.filter("up is null").join(replied, F.expr("conv <=> c and node = n"), "left_anti")
+    leaves = (arrived.join(replied, F.expr("conv <=> c and node = n"), "left_anti")
               .select("conv", "node", "score", "depth"))
     best = Window.partitionBy("conv").orderBy(F.desc("score"), F.desc("depth"), F.desc("node"))
     chosen = leaves.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     path = stored(chosen.select("conv", F.col("node").alias("leaf"), "rank", "node"))
-    for step in reversed(pointers[:-1]):  # every distance is a sum of powers of two
-        s = step.filter("up is not null").select(F.col("conv").alias("c"), F.col("node").alias("n"), "up")
+    for step in reversed(steps):  # every distance is a sum of powers of two
+        s = step.select(F.col("conv").alias("c"), F.col("node").alias("n"), "up")
         up = path.join(s, F.expr("conv <=> c and node = n")).select("conv", "leaf", "rank", F.col("up").alias("node"))
         path = stored(path.union(up))
-    depth = reach.select(F.col("conv").alias("c"), F.col("node").alias("n"), "depth")
+    depth = arrived.select(F.col("conv").alias("c"), F.col("node").alias("n"), "depth")
     return path.join(depth, F.expr("conv <=> c and node = n")).select("conv", "leaf", "rank", "node", "depth")
 
 
