@@ -13,12 +13,14 @@
    component than the bucket's smallest member may yet be linked with other
    members. In buckets of at most ``SMALL`` members they are paired with those
    (so many pairs for each member at most). In larger ones, groups of near
-   copies that are no star, a prefix-filtered join finds the pairs: with the
-   smallest member's set L, two sets a and x are similar only if their
-   differences from L overlap in (|a+L| + |x+L| - t) / 2 elements (+ is the
-   symmetric difference, t the largest |a+x| that the sizes and the threshold
-   allow), so they share one of the rarest elements of the differences. Copies
-   with edits of their own share none, and make no pairs.
+   copies that are no star, a prefix-filtered join finds the pairs. There the
+   members of all buckets whose smallest members are in one component form one
+   group (a member meets a group once, in however many of its buckets): with L
+   the set of the component's smallest member, two sets a and x are similar
+   only if their differences from L overlap in (|a+L| + |x+L| - t) / 2 elements
+   (+ is the symmetric difference, t the largest |a+x| that the sizes and the
+   threshold allow), so they share one of the rarest elements of the
+   differences. Copies with edits of their own share none, and make no pairs.
 
 No candidate is dropped in step 4. At similarity 0.8 a pair shares no band with
 probability (1 - 0.8^4)^24 < 3e-6; the sketch bound dismisses a true pair with
@@ -49,6 +51,8 @@ SKETCH_BITS = 512
 ALLOWED_DIFFERENT = 43
 #: Members of a bucket up to which pairs are made directly.
 SMALL = 32
+#: Members of a large group that share one copy of its smallest member's set.
+PER_PART = 256
 #: Same threshold as a bound of the XOR's population count.
 XOR_BOUND = int(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * ALLOWED_DIFFERENT)))
 
@@ -170,29 +174,37 @@ def _small_rest(placed: DataFrame) -> DataFrame:
 
 
 def _large_rest(placed: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The same for large buckets, by a prefix join on the sets' differences from their leader's."""
-    group = placed.groupBy("leader", "id").agg(F.first("component").alias("component"), F.first("main").alias("main"))
-    group = group.join(group.filter("component <> main").select("leader").distinct(), "leader", "left_semi")
-    group = stored(group.withColumn("apart", F.col("component") != F.col("main")))
-    wanted = group.select("id").union(group.select("leader")).distinct()
+    """The same for large buckets, by a prefix join on the sets' differences from their component's smallest member."""
+    group = placed.groupBy("main", "id").agg(F.first("component").alias("component"))
+    sizes = group.groupBy("main").agg(F.count(F.lit(1)).alias("rows"), F.max(F.col("component") != F.col("main")).alias("open"))
+    parts = sizes.filter("open").select("main", F.ceil(F.col("rows") / PER_PART).alias("parts"))
+    group = stored(group.join(parts, "main").withColumn("apart", F.col("component") != F.col("main"))
+                   .withColumn("part", F.pmod(F.xxhash64("id"), "parts")))
+    wanted = group.select("id").union(group.select("main")).distinct()
     sets = stored(_sets_of(texts.join(wanted.hint("merge"), "id").select("id", "text"), shingle))
-    differ = (group.join(sets.toDF("id", "s"), "id").join(sets.toDF("leader", "l"), "leader")
-              .select("leader", "id", "component", "apart", F.size("s").alias("n"),
+    # a copy of the smallest member's set for every part of its group, so that no task gathers a large group
+    smallest = (group.select("main", "parts").distinct()
+                .join(sets.groupBy(F.col("id").alias("main")).agg(F.min("shingles").alias("l")), "main")
+                .select("main", "l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
+    differ = (group.join(sets.toDF("id", "s"), "id").join(smallest, ["main", "part"])
+              .select("main", "id", F.xxhash64("s").alias("version"), "component", "apart", F.size("s").alias("n"),
                       F.concat(F.array_except("s", "l"), F.array_except("l", "s")).alias("elements"))
-              .select("leader", "id", "component", "apart", "n", F.size("elements").alias("d"), F.explode("elements").alias("element")))
+              .select("main", "id", "version", "component", "apart", "n", F.size("elements").alias("d"),
+                      F.explode("elements").alias("element")))
     differ = stored(differ)
-    counted = differ.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("leader", "element")))
-    rarest = Window.partitionBy("leader", "id").orderBy("often", "element")
-    # alone in its group, an element finds nobody, but it keeps its place in the order
-    ranked = stored(counted.withColumn("place", F.row_number().over(rarest)).filter("often > 1"))
-    a = ranked.filter("apart").select("leader", "element", *[F.col(c).alias(f"{c}1") for c in ("id", "component", "n", "d", "place")])
-    b = ranked.select("leader", "element", "apart", *[F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "d", "place")])
+    counted = differ.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("main", "element")))
+    rarest = Window.partitionBy("main", "id", "version").orderBy("often", "element")
+    # alone in its group, an element finds nobody, but it keeps its place in the order; no partner can need later places
+    ranked = stored(counted.withColumn("place", F.row_number().over(rarest))
+                    .filter((F.col("often") > 1) & (percent * (F.col("place") - 1) <= (100 - percent) * F.col("n"))))
+    a = ranked.filter("apart").select("main", "element", *[F.col(c).alias(f"{c}1") for c in ("id", "component", "n", "d", "place")])
+    b = ranked.select("main", "element", "apart", *[F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "d", "place")])
     most = (F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent)
     fits = ((F.col("component1") != F.col("component2")) & (~F.col("apart") | (F.col("id1") < F.col("id2")))
             & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2"))
             & (2 * (F.col("place1") - 1) <= F.col("d1") - F.col("d2") + most)
             & (2 * (F.col("place2") - 1) <= F.col("d2") - F.col("d1") + most))
-    return a.join(b, ["leader", "element"]).filter(fits).select(F.col("id1").alias("a"), F.col("id2").alias("b"))
+    return a.join(b, ["main", "element"]).filter(fits).select(F.col("id1").alias("a"), F.col("id2").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,

@@ -88,7 +88,8 @@ def test_quality_rejects_words_that_trusted_text_lacks(spark):
     assert kept == set(range(40))
 
 
-def test_near_duplicates_equal_brute_force(spark, docs, rows):
+def near_components(rows):
+    """(set size, smallest linked id) of every id, by comparing all pairs."""
     sets = {}
     for i, t in rows:
         w = words(lower(t))
@@ -106,10 +107,41 @@ def test_near_duplicates_equal_brute_force(spark, docs, rows):
             if j < i and common and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in op03_near_dedup.report(docs, shingle=2).collect()}
-    assert got == {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def near_found(df):
+    found = {r["doc_id"]: r for r in op03_near_dedup.report(df, shingle=2).collect()}
+    assert all(r["kept"] == (i == r["component_id"]) for i, r in found.items())
+    return {i: (r["n_shingles"], r["component_id"]) for i, r in found.items()}
+
+
+def test_near_duplicates_equal_brute_force(docs, rows):
+    want = near_components(rows)
+    assert near_found(docs) == want
     kept = op03_near_dedup.near_dedup(docs, shingle=2)
-    assert kept.columns == docs.columns and kept.count() == len({find(i) for i in sets})
+    assert kept.columns == docs.columns and kept.count() == len({c for _, c in want.values()})
+
+
+def test_near_duplicates_in_large_groups_without_a_centre(spark, monkeypatch):
+    """Families that drift from one shared passage: large buckets, few links with their smallest members."""
+    monkeypatch.setattr(op03_near_dedup, "SMALL", 4)
+    monkeypatch.setattr(op03_near_dedup, "PER_PART", 7)
+    r = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    passage = r.choices(vocabulary, k=110)
+    texts = []
+    for _ in range(6):
+        own = r.choices(vocabulary, k=60)
+        for _ in range(25):
+            own[r.randrange(60)] = r.choice(vocabulary)
+            own[r.randrange(60)] = r.choice(vocabulary)
+            texts.append(" ".join(passage + own))
+    r.shuffle(texts)
+    rows = list(enumerate(texts))
+    want = near_components(rows)
+    assert 1 < len({c for _, c in want.values()}) < 100
+    assert near_found(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == want
 
 
 def test_near_duplicates_null_and_repeated_ids(spark):
