@@ -213,10 +213,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = stored(sketched(docs, id_col, text_col, shingle))
     texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
     known = rows.filter("n > 0 and id is not null")
-    smallest = known.groupBy("same1", "same2").agg(F.min("id").alias("id"))
     # one row per class; repeated ids (different texts under one id) may stand for several classes
-    classes = stored(known.join(smallest, ["same1", "same2", "id"]).select("id", "n", "bands", "sketch", "same1", "same2")
-                     .dropDuplicates(["id", "same1", "same2"]))
+    classes = stored(known.groupBy("same1", "same2").agg(
+        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "bands", "sketch")]))
+    smallest = classes.select("same1", "same2", "id")
     buckets = classes.select("id", F.explode("bands").alias("bucket"))
     leaders = buckets.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stored(buckets.join(leaders, "bucket"))
