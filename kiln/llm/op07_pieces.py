@@ -1,7 +1,7 @@
 """SentencePiece encoding as a lattice, and decoding.
 
 A word (leading spaces and what follows up to the next space; line feeds stand
-alone; at most ``LONGEST`` code points) has an edge for every piece of the
+alone; of any length) has an edge for every piece of the
 vocabulary that is one of its substrings, and one of byte pieces for every code
 point that is no piece. Its tokens are the path with the largest sum of the
 model's piece scores; equal sums prefer the longer last piece.
@@ -13,7 +13,9 @@ the ``frequent`` most frequent words of the whole corpus, a table of bounded
 size that every task gets. The other words are as many as the corpus has rare
 words: the same search runs on their distinct forms inside the task that reads
 them (vectorised over words), because giving them back to their documents
-would shuffle every occurrence. Both forms give the same tokens for any word.
+would shuffle every occurrence. Words of more than ``LONG_BYTES`` bytes are
+searched alone, in blocks that carry the search's state on. All forms give the
+same tokens for any word.
 
 Decoding joins the pieces' bytes; byte pieces are their byte. Encoding is
 lossless: ``decode(encode(text)) == text`` for every text.
@@ -36,7 +38,13 @@ from pyspark.sql import functions as F
 from kiln.llm.frames import col
 from kiln.llm.textbytes import Spans, bound_batches, flat, slices
 
+#: Code points of a word in the table of frequent words at most.
 LONGEST = 32
+#: Bytes of a word that is searched together with others at most.
+LONG_BYTES = 1024
+#: Bytes whose edges are held at once.
+BLOCK = 16_384
+SEARCH_BYTES = 500_000
 #: Score of a code point that has to be written in byte pieces: below every ordinary piece.
 BYTES_SCORE = -40_000
 WORD_BOUNDARY = "(?<! )(?= )|(?<=\\n)|(?=\\n)"
@@ -227,6 +235,58 @@ class Lattice:
             out[some] = self.byte_id[data[start[w] + (s - node0[w]) + within]]
         return np.bincount(live, weights=wide, minlength=len(start)).astype(np.int64), out
 
+    def search_long(self, data: np.ndarray, spans: Spans, start: int, end: int) -> np.ndarray:
+        """Tokens of one word of any length; only the edges that end in one block are held."""
+        size = end - start
+        best = [0] + [None] * size
+        back = np.zeros(size + 1, np.int32)  # bytes of the last piece of the best path to each place
+        last = np.full(size + 1, -1, np.int32)  # its id, or -1 for byte pieces
+        sizes = sorted(self.by_size)
+        for low in range(0, size, BLOCK):
+            high = min(size, low + BLOCK)  # edges that end in (low, high]
+            a = max(0, low - max(4, sizes[-1]))
+            own = data[start + a:start + high]
+            lead = (own & 0xC0) != 0x80
+            width = np.where(own < 0x80, 1, np.where(own < 0xE0, 2, np.where(own < 0xF0, 3, 4)))
+            single = np.zeros(len(own), bool)
+            froms, wide, ids, scores = [], [], [], []
+            for n in sizes:
+                hashes, piece, score = self.by_size[n]
+                fit = np.flatnonzero(lead[:max(0, len(own) - n + 1)])
+                if not len(fit):
+                    continue
+                h = spans.hash(start + a + fit, start + a + fit + n)
+                k = np.searchsorted(hashes, h).clip(0, len(hashes) - 1)
+                same = hashes[k] == h
+                fit, k = fit[same], k[same]
+                single[fit[width[fit] == n]] = True
+                froms.append(a + fit)
+                wide.append(np.full(len(fit), n))
+                ids.append(piece[k])
+                scores.append(score[k])
+            alone = np.flatnonzero(lead & ~single)
+            froms.append(a + alone)
+            wide.append(width[alone])
+            ids.append(np.full(len(alone), -1))
+            scores.append(np.full(len(alone), BYTES_SCORE))
+            source, wide, ids, scores = (np.concatenate(x) for x in (froms, wide, ids, scores))
+            target = source + wide
+            inside = np.flatnonzero((target > low) & (target <= high))
+            inside = inside[np.lexsort((source[inside], target[inside]))]  # the longest piece first
+            for s, t, i, score in zip(*(x[inside].tolist() for x in (source, target, ids, scores))):
+                total = best[s] + score
+                if best[t] is None or total > best[t]:
+                    best[t] = total
+                    back[t] = t - s
+                    last[t] = i
+        parts, at = [], size
+        while at:
+            n = int(back[at])
+            i = int(last[at])
+            parts.append(self.byte_id[data[start + at - n:start + at]] if i < 0 else [i])
+            at -= n
+        return np.concatenate(parts[::-1]).astype(np.int32)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of all texts and each text's first, and the texts' bytes and offsets."""
         data, offsets = flat(texts)
@@ -234,13 +294,7 @@ class Lattice:
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
         edge[1:-1] |= (space[1:] & ~space[:-1]) | feed[1:] | feed[:-1]
-        lead = (data & 0xC0) != 0x80
         start = np.flatnonzero(edge[:-1])
-        if len(data):
-            signs = np.cumsum(lead)
-            base = np.repeat(signs[start], np.diff(np.append(start, len(data))))
-            edge[:-1] |= lead & ((signs - base) % LONGEST == 0)  # longer words are cut
-            start = np.flatnonzero(edge[:-1])
         end = np.append(start[1:], len(data))[:len(start)]
         spans = Spans(data)
         h = spans.hash(start, end)
@@ -256,9 +310,15 @@ class Lattice:
             begin[have] = self.known_first[k][have]
         else:
             have = np.zeros(len(distinct), bool)
-        rare = np.flatnonzero(~have)
-        for i in range(0, len(rare), 20_000):
-            own = rare[i:i + 20_000]
+        size = end[sample] - start[sample]
+        for i in np.flatnonzero(~have & (size > LONG_BYTES)):
+            ids = self.search_long(data, spans, int(start[sample[i]]), int(end[sample[i]]))
+            count[i], begin[i] = len(ids), filled
+            filled += len(ids)
+            pool.append(ids)
+        rare = np.flatnonzero(~have & (size <= LONG_BYTES))
+        chunk = np.cumsum(size[rare]) // SEARCH_BYTES
+        for own in np.split(rare, np.flatnonzero(np.diff(chunk)) + 1) if len(rare) else ():
             n, ids = self.search(data, spans, start[sample[own]], end[sample[own]])
             count[own] = n
             begin[own] = filled + np.cumsum(n) - n

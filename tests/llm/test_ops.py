@@ -259,6 +259,44 @@ def test_pieces_both_forms_and_round_trip(spark, docs, rows):
     assert op07_pieces.report(docs, frequent=50).filter("not round_trip").count() == 0
 
 
+def test_pieces_of_long_words_are_the_best_path(spark, docs, rows, monkeypatch):
+    """Words are not cut: tokens of every form cost what the best path of the whole word costs."""
+    monkeypatch.setattr(op07_pieces, "BLOCK", 50)
+    pieces = op07_pieces.Pieces()
+    score = {t: (i, s) for t, i, s in zip(pieces.text, pieces.id, pieces.score)}
+    r = random.Random(3)
+    words = ["http://example.org/" + "international/representation/" * 9, "".join(r.choices("0123456789abcdef", k=64)),
+             "".join(r.choices("aeinorstlé日🎉", k=1500)), " " * 77 + "understanding" * 4, "x" * 3000]
+
+    def best(w):
+        nodes = [(0, 0, [])]
+        for e in range(1, len(w) + 1):
+            top = None
+            for s in range(max(0, e - pieces.longest), e):
+                ids, own = [score[w[s:e]][0]] if w[s:e] in score else None, score.get(w[s:e], (0, op07_pieces.BYTES_SCORE))[1]
+                if ids is None and e - s == 1:
+                    ids = [pieces.byte_id[b] for b in w[s:e].encode()]
+                if ids is not None and (top is None or nodes[s][0] + own > top[0]):
+                    top = (nodes[s][0] + own, s, ids)
+            nodes.append(top)
+        out, e = [], len(w)
+        while e:
+            out, e = nodes[e][2] + out, nodes[e][1]
+        return out
+
+    want = [best(w) for w in words]
+    for most in (10, 1024):  # one by one in blocks, and together
+        monkeypatch.setattr(op07_pieces, "LONG_BYTES", most)
+        tokens, first, _, _ = op07_pieces.Lattice(pieces, []).encode(pa.array(words))
+        assert [tokens[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == want
+    some = [1, 3]
+    got = op07_pieces.relational_encode(spark.createDataFrame([(words[k],) for k in some], "word string"), pieces).collect()
+    assert {x["word"]: x["ids"] for x in got} == {words[k]: want[k] for k in some}
+    back = {x["doc_id"]: x["text"] for x in op07_pieces.decoded(op07_pieces.encoded(docs, frequent=50)).collect()}
+    assert back == dict(rows)
+    assert op07_pieces.report(docs, frequent=50).filter("not round_trip").count() == 0
+
+
 def test_toxicity_finds_hidden_words(spark):
     r = random.Random(5)
     voc = ["".join(r.choices("aeilnorst", k=5)) for _ in range(300)]
