@@ -7,8 +7,10 @@ a lattice: each sign may stand for itself, for the letters it looks like, for
 any letter (wildcards) or for nothing (separators, repetitions), at a cost.
 Source. A character 4-gram model (27 signs, interpolated down to unigrams) is
 counted over all documents. Viterbi search through the lattice finds the most
-likely letters; spans that show no sign of hiding restore to their plain
-letters without a search.
+likely letters (a beam only bounds the cost of the exact search); spans that show no sign of hiding restore to
+their plain letters without a search. Signs at a word's ends are punctuation
+unless they may stand for letters: then both readings are in the lattice. Each
+gap of spaced letters may also be a word edge.
 
 Score. Restored words are marks if they single out toxic rows among the
 labelled rows that may be learned from (a sample of at most ``max_labelled``,
@@ -33,6 +35,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -56,13 +59,18 @@ SEPARATOR = " .-_,'`~^:;/\\\"()[]{}<>*#|+=·•"
 INVISIBLE = re.compile("[­​-‏⁠﻿]")
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 COST = {"lookalike": 1.0, "wildcard": 2.5, "separator": 0.2, "repeat": 0.1, "double": 4.0, "itself": 6.0}
-BEAM = 32
+#: States kept by the first search, whose path bounds the cost of the exact one.
+BEAM = 2
+#: States from which a step of the search is done on all 27^3 states at once.
+DENSE = 300
 #: Rounds of thinning near copies in the labelled sample.
 ROUNDS = 8
 
 _PLAIN = re.compile(r"\W*([A-Za-z]+)[\W_]*")
 _RUN = re.compile(r"(.)\1\1")
-_EDGE = re.compile(r"^[\W_]{2,}|[\W_]{2,}$|[.,;:?]$|^[\"'(\[]|[\"')\]]$")
+_HIDING = frozenset(LOOKALIKE) | frozenset(WILDCARD)
+_PUNCTUATION = rf"(?:[^\w{re.escape(''.join(sorted(_HIDING)))}]|_)+"
+_EDGE = re.compile(rf"^{_PUNCTUATION}|{_PUNCTUATION}$")
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _HAS_LETTER = re.compile(r"[^\W\d_]")
 
@@ -80,28 +88,93 @@ class CharModel:
         for n in (n4.sum(axis=(0, 1, 2)), n4.sum(axis=(0, 1)), n4.sum(axis=0), n4):
             total = n.sum(axis=-1, keepdims=True)
             p = (n + strength * np.broadcast_to(p, n.shape)) / (total + strength)
-        self.cost = (-np.log(p)).astype(np.float32).reshape(27 ** 3, 27).tolist()
+        cost = (-np.log(p)).astype(np.float32).reshape(27 ** 3, 27)
+        self.cost = cost.tolist()
+        self.dense = cost.astype(np.float64).reshape(27, 729, 27)
 
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
-        """Letters of the cheapest path; each step offers strings of at most one letter with their cost."""
-        beam = {0: (0.0, "")}
-        for step in lattice:
+        """Letters of the cheapest path; each step offers letters, nothing or a word edge (a space) with their cost."""
+        if all(len(step) < 6 for step in lattice):  # without wildcards there are few states
+            return self._decode(lattice, 0, math.inf)[1]
+        most, text, whole = self._decode(lattice, BEAM, math.inf)
+        return text if whole else self._decode(lattice, 0, most + 1e-6)[1]
+
+    def _decode(self, lattice: list[list[tuple[str, float]]], beam: int, most: float) -> tuple[float, str, bool]:
+        """Cost and letters of the cheapest path, and whether no state was left out but those that cost over ``most``."""
+        states = {0: (0.0, "")}
+        whole = True
+        ahead = list(accumulate((min(price for _, price in step) for step in lattice[::-1]), initial=0.0))[::-1]
+        for k, step in enumerate(lattice):
+            if not beam and len(states) > DENSE:
+                return 0.0, self._decode_dense(states, lattice[k:]), True
+            bound = most - ahead[k + 1]
             following: dict[int, tuple[float, str]] = {}
-            for context, (spent, text) in beam.items():
+            for context, (spent, text) in states.items():
                 row = self.cost[context]
                 for letter, price in step:
-                    if letter:
+                    if letter == " ":
+                        if not context:
+                            continue
+                        total, to = spent + price + row[0], 0
+                    elif letter:
                         code = ord(letter) - 96
-                        total, to, out = spent + price + row[code], (context * 27 + code) % 19683, text + letter
+                        total, to = spent + price + row[code], (context * 27 + code) % 19683
                     else:
-                        total, to, out = spent + price, context, text
+                        total, to = spent + price, context
+                    if total > bound:
+                        continue
                     have = following.get(to)
                     if have is None or total < have[0]:
-                        following[to] = (total, out)
-            if len(following) > BEAM:
-                following = dict(sorted(following.items(), key=lambda kv: (kv[1][0], kv[1][1]))[:BEAM])
-            beam = following
-        return min((spent + self.cost[context][0], text) for context, (spent, text) in beam.items())[1]
+                        following[to] = (total, text + letter)
+            if beam and len(following) > beam:
+                whole = False
+                following = dict(sorted(following.items(), key=lambda kv: (kv[1][0], kv[1][1]))[:beam])
+            states = following
+        return *min((spent + self.cost[context][0], text) for context, (spent, text) in states.items()), whole
+
+    def _decode_dense(self, states: dict[int, tuple[float, str]], lattice: list[list[tuple[str, float]]]) -> str:
+        """The rest of the search, each step on all states at once."""
+        spent = np.full(19683, np.inf)
+        for context, (total, _) in states.items():
+            spent[context] = total
+        taken = []
+        for step in lattice:
+            price = np.full(27, np.inf)
+            for letter, own in step:
+                if letter.strip():
+                    price[ord(letter) - 96] = own
+            options = dict(step)
+            letters = np.flatnonzero(np.isfinite(price))
+            best = np.full((729, 27), np.inf)
+            oldest = np.zeros((729, 27), np.uint8)  # the sign that leaves the context
+            if len(letters):
+                total = spent.reshape(27, 729, 1) + self.dense[:, :, letters]
+                oldest[:, letters] = total.argmin(axis=0)
+                best[:, letters] = total.min(axis=0) + price[letters]
+            best = best.ravel()
+            edge = -1
+            if " " in options:
+                total = spent + self.dense.reshape(19683, 27)[:, 0]
+                total[0] = np.inf
+                if total.min() + options[" "] < best[0]:
+                    edge = int(total.argmin())
+                    best[0] = total[edge] + options[" "]
+            stay = spent + options.get("", np.inf) < best
+            best[stay] = spent[stay] + options.get("", np.inf)
+            taken.append((oldest, stay, edge))
+            spent = best
+        at = int((spent + self.dense.reshape(19683, 27)[:, 0]).argmin())
+        out: list[str] = []
+        for oldest, stay, edge in reversed(taken):
+            if stay[at]:
+                continue
+            if not at and edge >= 0:
+                out.append(" ")
+                at = edge
+                continue
+            out.append(chr(96 + at % 27))
+            at = int(oldest.ravel()[at]) * 729 + at // 27
+        return states[at][1] + "".join(out[::-1])
 
 
 def char_counts(texts: DataFrame) -> np.ndarray:
@@ -128,6 +201,7 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
     """What each sign of a span may stand for."""
     steps: list[list[tuple[str, float]]] = []
     lengths = [len(m[0]) for m in re.finditer(r"(.)\1*", span, re.S) for _ in m[0]]
+    core = [k for k, sign in enumerate(span) if sign.isalnum()]
     for k, sign in enumerate(span):
         plain = unicodedata.normalize("NFKD", sign)[:1].lower()
         options: dict[str, float] = {}
@@ -144,12 +218,17 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
                 offer(letter, COST["wildcard"])
         if sign in SEPARATOR or not options:
             offer("", COST["separator"] if sign in SEPARATOR else COST["itself"])
+        elif not sign.isalnum() and core and not core[0] < k < core[-1]:  # at an end it may be punctuation
+            offer("", COST["separator"] if lengths[k] > 2 or sign in "!?" and k > core[-1] else COST["itself"])
         if k and sign == span[k - 1]:  # a repeated sign may add nothing
             offer("", COST["double"] if lengths[k] == 2 else COST["repeat"])
         steps.append(list(options.items()))
     return steps
 
 
+_GAP = [("", 0.0), (" ", 0.0)]
+
+
 class Restorer:
     """Restored words of texts; keeps a bounded cache of decoded spans."""
 
@@ -169,7 +248,7 @@ class Restorer:
 
     def _word(self, token: str) -> str:
         plain = _PLAIN.fullmatch(token)
-        if plain and not _RUN.search(plain[1]):
+        if plain and not _RUN.search(plain[1]) and _HIDING.isdisjoint(token[:plain.start(1)] + token[plain.end(1):]):
             return plain[1].lower()
         token = _EDGE.sub("", INVISIBLE.sub("", token))
         if not _HAS_LETTER.search(token):
@@ -183,19 +262,28 @@ class Restorer:
 
     def spaced(self, text: str) -> list[str]:
         """Restored words of runs of single signs."""
-        return [self.word_of_span(m[0]) for m in _SPACED.finditer(text)]
+        return [w for m in _SPACED.finditer(text) for w in self.words_of_span(m[0])]
 
-    def word_of_span(self, span: str) -> str:
-        key = "".join(span.split())
-        return self.word(key) if _HAS_LETTER.search(key) else ""
+    def words_of_span(self, span: str) -> list[str]:
+        """Restored words of a run of single signs, in which each gap may be a word edge."""
+        key = " ".join(span.split())
+        got = self.words.get(key)
+        if got is None:
+            folded = "".join(c for c in unicodedata.normalize("NFKD", INVISIBLE.sub("", key)) if not unicodedata.combining(c)).lower()
+            steps = lattice("".join(folded.split())) if _HAS_LETTER.search(folded) else []
+            got = self.model.decode([x for step in steps for x in (_GAP, step)][1:])
+            if len(self.words) >= self.size:
+                self.words.clear()
+            self.words[key] = got
+        return got.split()
 
     def restored(self, text: str) -> str:
         """The whole text restored: hidden words and spaced letters replaced, single spaces between words."""
-        text = _SPACED.sub(lambda m: self.word_of_span(m[0]) or m[0], text)
+        text = _SPACED.sub(lambda m: " ".join(self.words_of_span(m[0])) or m[0], text)
         return " ".join(self.word(t) or t for t in text.split())
 
     def word_set(self, text: str) -> set[str]:
-        """Distinct restored words of a text (of spaced letters, the joined word too)."""
+        """Distinct restored words of a text (of spaced letters, the joined words too)."""
         out = {self.word(t) for t in set(text.split())}
         out.update(self.spaced(text))
         out.discard("")

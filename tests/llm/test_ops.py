@@ -323,6 +323,24 @@ def test_toxicity_finds_hidden_words(spark):
     assert {x["score"] for x in none.collect()} == {0.0}
 
 
+def test_toxicity_restores_hidden_edges_gaps_and_wildcards(monkeypatch):
+    text = " ".join(["you are a stupid man", "what an idiot he is", "that is such a total asshole", "a big ass"] * 40)
+    counts = np.zeros(27 ** 4, np.int64)
+    code = [0, 0] + [ord(c) - 96 if c != " " else 0 for c in text] + [0, 0]
+    for a, b, c, d in zip(code, code[1:], code[2:], code[3:]):
+        counts[((a * 27 + b) * 27 + c) * 27 + d] += 1
+    hidden = {"$tupid": "stupid", "@sshole": "asshole", "a$$": "ass", "id**t": "idiot", "idiot###": "idiot", "idiot%%%": "idiot", "idiot!": "idiot",
+              "(idiot?": "idiot", "#stupid": "stupid", '"stupid"': "stupid", "s***id": "stupid"}
+    for dense in (300, 0):  # by single states, and on all states
+        monkeypatch.setattr(op02_toxicity, "DENSE", dense, raising=False)
+        monkeypatch.setattr(op02_toxicity, "BEAM", 2 if dense else 1)
+        restore = op02_toxicity.Restorer(op02_toxicity.CharModel(counts))
+        assert {h: restore.word(h) for h in hidden} == hidden
+        assert restore.spaced("so a s t u p i d man") == ["a", "stupid"]
+        assert restore.spaced("s t u p i d  i d i o t") == ["stupid", "idiot"]
+        assert restore.restored("so a $ t u p i d man") == "so a stupid man"
+
+
 def test_language_held_out(spark):
     r = random.Random(6)
     made = {"xx": "abc", "yy": "mnop", "zz": "uvwé"}
