@@ -9,9 +9,10 @@
    other with the group's wrapper so far, then the groups' wrappers with each other. Text against text is a slot; tokens that only one side has become
    optional ``(...)?``; what then repeats next to itself is folded again. The
    result is a regular expression without unions.
-3. The wrapper's main container is the article (or main) element with the most
+3. The host's main container is the article (or main) element with the most
    text, else the innermost container with most of the host's text outside
-   menus and the like; its slots are the article. Pages are read again with
+   menus and the like; its text is the article. It does not depend on the
+   expression of item 2, which is only returned by ``wrappers``. Pages are read again with
    their host's container, or with their own if they lack it.
 
 Inside the container, menus, page headers, footers, sidebars, notices, adverts,
