@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kiln.llm import (op01_quality, op02_toxicity, op03_near_dedup, op04_extract, op05_chat, op06_substring_dedup,
-                      op07_pieces, op08_decontaminate, op09_language, op10_suffix_dedup)
+                      op07_pieces, op08_decontaminate, op09_language, op10_suffix_dedup, op12_compress_quality)
 from kiln.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, decoded again."""
     return op07_pieces.report(table(spark, sf_dir, "documents"))
+
+
+@query("op12_quality_classifier")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by two compression dictionaries."""
+    return op12_compress_quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
