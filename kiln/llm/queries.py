@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kiln.llm import (op01_quality, op02_toxicity, op03_near_dedup, op04_extract, op05_chat, op06_substring_dedup,
-                      op07_pieces, op08_decontaminate, op09_language, op10_suffix_dedup, op12_compress_quality, op13_token_alignment)
+                      op07_pieces, op08_decontaminate, op09_language, op10_suffix_dedup, op11_collocations, op12_compress_quality,
+                      op13_token_alignment)
 from kiln.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +148,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's alignment of two tokenizers, with corpus-wide pair counts."""
     return op13_token_alignment.report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_collocations")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of every language."""
+    return op11_collocations.report(table(spark, sf_dir, "documents"))
