@@ -90,16 +90,21 @@ class Model:
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Points of the rising curve nearest to y: neighbours that would make it fall are pooled."""
+    """Corners of the rising curve nearest to y: neighbours that would make it fall are pooled,
+    a pool is level from its first to its last x, and lines run between pools."""
     order = np.lexsort((-y, x))  # equal gains are pooled
-    pools: list[list[float]] = []  # weight, sum of y, sum of x, each weighted
+    pools: list[list[float]] = []  # weight, weighted sum of y, first x, last x
     for a, b, w in zip(x[order].tolist(), y[order].tolist(), weight[order].tolist()):
-        pools.append([w, w * b, w * a])
+        pools.append([w, w * b, a, a])
         while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
-            last = pools.pop()
-            pools[-1] = [p + q for p, q in zip(pools[-1], last)]
-    w, sy, sx = np.array(pools).T
-    return sx / w, np.clip(sy / w, 0.001, 0.999)
+            w2, y2, _, last = pools.pop()
+            w1, y1, first, _ = pools[-1]
+            pools[-1] = [w1 + w2, y1 + y2, first, last]
+    w, sy, first, last = np.array(pools).T
+    share = np.clip(sy / w, 0.001, 0.999)
+    corners = np.stack([first, last], axis=1).ravel()
+    keep = np.append(True, np.diff(corners) > 0)
+    return corners[keep], np.repeat(share, 2)[keep]
 
 
 def drawn(labels: DataFrame, learn: Column, id_col: str, label_col: str, per_class: int) -> tuple[DataFrame, dict[int, int]]:
