@@ -231,7 +231,7 @@ def test_alignment_equals_whole_text_encoding(spark, tokenizers, monkeypatch):
     got = sorted(tuple(x) for x in op13_token_alignment.report(once, slice_bytes=3000).collect())
     assert got == sorted((i, *want[i, t]) for (i, t), _ in keyed[:-1])
     assert op13_token_alignment.report(df).count() == len(docs)  # repeated rows stay
-    back = {(r["doc_id"], r["groups"] and len(r["groups"])): [[g["a"], g["b"]] for g in r["groups"]]
+    back = {(r["doc_id"], len(r["groups"])): [[g["a"], g["b"]] for g in r["groups"]]
             for r in op13_token_alignment.groups(once).collect()}
     assert all(back[i, len(g)] == g for (i, _), g in groups.items() if i)
     links = {(r["a"], r["b"]): r["n"] for r in op13_token_alignment.links(once, slice_bytes=10_000).collect()}
