@@ -1,6 +1,6 @@
 """Feature extraction from model, colour, accident, transmission and engine text.
 
-The fit is one aggregation (modes of the normalised colour and transmission
+The fit counts values in one job (modes of the normalised colour and transmission
 text, used as fallbacks); the transform is one projection.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kiln.functions import rules as R
 from kiln.functions import text as T
 from kiln.operators.base import Estimator, Model, replace_columns
+from kiln.operators.ranks import column_modes
 
 COLOR_COLUMNS = ("int_col", "ext_col")
 
@@ -33,12 +34,9 @@ def _mode_sources(df: DataFrame, color_columns, mode_of: str) -> dict:
 
 
 def fit_modes(df: DataFrame, color_columns=COLOR_COLUMNS, mode_of: str = "raw") -> dict:
-    """One aggregation: deterministic mode (ties -> smallest) per fallback column."""
+    """Deterministic mode (ties -> smallest) per fallback column."""
     src = _mode_sources(df, color_columns, mode_of)
-    if not src:
-        return {}
-    row = df.agg(*[F.mode(e, True).alias(k) for k, e in src.items()]).first()
-    return {k: row[k] for k in src}
+    return column_modes(df, src) if src else {}
 
 
 @dataclass
@@ -75,8 +73,7 @@ class FeatureEngineer(Estimator):
                       if "transmission" in df.columns else {})
         base = materialize(open_model.transform(df, fill=False, extra=hidden), how)
         srcs = [k for k in hidden if k.startswith("_mode_src_")]
-        row = base.agg(*[F.mode(F.col(k), True).alias(k) for k in srcs]).first() if srcs else None
-        modes = {k[len("_mode_src_"):]: row[k] for k in srcs} if row else {}
+        modes = {k[len("_mode_src_"):]: v for k, v in column_modes(base, {k: F.col(k) for k in srcs}).items()} if srcs else {}
         model = FeatureModel(self.color_columns, modes, self.mode_of)
         return model.fill(base, list(hidden)), model
 

@@ -1,14 +1,10 @@
 """Grouped, tiered and rule-based imputation.
 
-Fits are aggregations: grouping sets yield the per-group and the global
-statistic in one pass (partial aggregation runs map-side, so a hot group is
-pre-aggregated before the shuffle). Transforms are size-checked lookup joins
-plus one ``coalesce`` chain.
-
-Exact medians/modes hold one (value -> count) map per group per task, which
-is bounded by the number of distinct values, not rows. For continuous
-columns with very many distinct values per group pass ``approx=True`` to use
-a fixed-size quantile sketch instead.
+Fits share the passes of one selection (medians, quantile edges) or one count of
+(group, value) pairs (modes) for the group and the global statistic (``ranks.py``):
+no group's values and no column's distinct values meet in one task. Transforms
+are size-checked lookup joins plus one ``coalesce`` chain. ``approx=True`` takes
+a fixed-size quantile sketch in one pass instead of exact medians.
 """
 
 from __future__ import annotations
@@ -22,38 +18,43 @@ from pyspark.sql import functions as F
 from kiln.functions import rules as R
 from kiln.functions import text as T
 from kiln.operators.base import Estimator, Model, ParamTable, Transformer, replace_columns
+from kiln.operators.ranks import column_modes, column_quantiles, modes, quantiles
 
 
-def median_expr(c: str | Column, approx: bool = False, accuracy: int = 10000) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.percentile_approx(col, 0.5, accuracy) if approx else F.median(col)
+def medians(df: DataFrame, target: str, sets: Sequence[Sequence[str]], approx: bool = False) -> DataFrame:
+    """(gs, keys.., _fill): the median of ``target`` in every group of every grouping set."""
+    if not approx:
+        return quantiles(df, [target], [0.5], sets, computed=True).withColumn("_fill", F.col("q")[0]).drop("column_name", "n", "q")
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    masks = [sum((k not in s) << (len(keys) - 1 - i) for i, k in enumerate(keys)) for s in sets]
+    stats = df.groupingSets([list(s) for s in sets], *keys).agg(
+        F.percentile_approx(F.col(target), 0.5, 10000).alias("_fill"), F.grouping_id(*keys).alias("_gid"))
+    return stats.select(F.array_position(F.array(*[F.lit(m).cast("long") for m in masks]), F.col("_gid").cast("long")).cast("int").alias("gs"),
+                        *keys, "_fill").withColumn("gs", F.col("gs") - 1)
 
 
-def group_and_global(df: DataFrame, by: Sequence[str], agg: Column, name: str):
-    """One grouping-sets pass -> (ParamTable of per-group values, global value).
+def fill_tables(stats: DataFrame, sets: Sequence[Sequence[str]]) -> tuple[list[ParamTable], object]:
+    """A lookup table for every grouping set with keys, and the value of the one without.
 
-    The null-key group is kept out of the table (a null key never matches
-    a lookup, exactly like a dictionary lookup on a missing key).
+    Groups with a null key are left out (a null key never matches a lookup,
+    exactly like a dictionary lookup on a missing key).
     """
-    by = list(by)
-    full_mask = (1 << len(by)) - 1
-    stats = df.groupingSets([by, []], *by).agg(agg.alias(name), F.grouping_id(*by).alias("_gid"))
+    full = next((i for i, s in enumerate(sets) if not s), None)
+    head = stats.limit(ParamTable.COLLECT_MAX_ROWS + 1).collect()
+    tables = []
+    if len(head) <= ParamTable.COLLECT_MAX_ROWS:
+        for i, s in enumerate(sets):
+            if s:
+                rows = [tuple(r[c] for c in [*s, "_fill"]) for r in head if r["gs"] == i and all(r[k] is not None for k in s)]
+                tables.append(ParamTable.from_rows(stats.sparkSession, rows, stats.select(*s, "_fill").schema, list(s)))
+        return tables, next((r["_fill"] for r in head if r["gs"] == full), None)
     stats = stats.persist()
-    head = stats.limit(ParamTable.COLLECT_MAX_ROWS + 2).collect()
-    schema = stats.select(*by, name).schema
-    if len(head) <= ParamTable.COLLECT_MAX_ROWS + 1:
-        stats.unpersist()
-        glob = next((r[name] for r in head if r["_gid"] == full_mask), None)
-        rows = [tuple(r[c] for c in [*by, name]) for r in head
-                if r["_gid"] == 0 and all(r[k] is not None for k in by)]
-        return ParamTable.from_rows(df.sparkSession, rows, schema, by), glob
-    glob = stats.filter(F.col("_gid") == full_mask).select(name).first()
-    full = stats.filter(F.col("_gid") == 0)
-    for k in by:
-        full = full.filter(F.col(k).isNotNull())
-    table = ParamTable(full.select(*by, name), by)
+    for i, s in enumerate(sets):
+        if s:
+            tables.append(ParamTable(stats.filter(F.col("gs") == i).dropna(subset=list(s)).select(*s, "_fill"), list(s)))
+    glob = stats.filter(F.col("gs") == full).select("_fill").first()
     stats.unpersist()
-    return table, (glob[0] if glob is not None else None)
+    return tables, (glob[0] if glob is not None else None)
 
 
 # ----------------------------------------------------------------- I1 / I3
@@ -68,8 +69,9 @@ class GroupMedianImputer(Estimator):
     approx: bool = False
 
     def fit(self, df: DataFrame) -> "LookupFillModel":
-        table, glob = group_and_global(df, self.by, median_expr(self.target, self.approx), "_fill")
-        return LookupFillModel(self.target, [table], glob if self.global_fallback else None)
+        sets = [list(self.by), []]
+        tables, glob = fill_tables(medians(df, self.target, sets, self.approx), sets)
+        return LookupFillModel(self.target, tables, glob if self.global_fallback else None)
 
 
 @dataclass
@@ -84,8 +86,10 @@ class GroupModeImputer(Estimator):
     default: str | None = R.FUEL_DEFAULT
 
     def fit(self, df: DataFrame) -> "LookupFillModel":
-        table, glob = group_and_global(df, self.by, F.mode(F.col(self.target), True), "_fill")
-        return LookupFillModel(self.target, [table], glob if glob is not None else self.default)
+        sets = [list(self.by), []]
+        stats = modes(df, [self.target], sets).withColumnRenamed("value", "_fill").drop("column_name", "n")
+        tables, glob = fill_tables(stats, sets)
+        return LookupFillModel(self.target, tables, glob if glob is not None else self.default)
 
 
 @dataclass
@@ -144,11 +148,9 @@ class QuantileBinner(Estimator):
 
     def fit(self, df: DataFrame) -> "QuantileBinModel":
         qs = [i / self.n_bins for i in range(self.n_bins + 1)]
-        x = F.col(self.col)
-        agg = (F.percentile_approx(x, qs, 10000) if self.approx else F.percentile(x, qs))
-        row = df.agg(agg.alias("e")).first()
-        edges = sorted(set(row["e"])) if row and row["e"] else []
-        return QuantileBinModel(self.col, edges)
+        found = (df.agg(F.percentile_approx(F.col(self.col), qs, 10000).alias("e")).first()["e"] if self.approx
+                 else column_quantiles(df, [self.col], qs, computed=True)[self.col])
+        return QuantileBinModel(self.col, sorted(set(found or [])))
 
 
 @dataclass
@@ -189,33 +191,11 @@ class TieredBinImputer(Estimator):
     def fit(self, df: DataFrame) -> "TieredBinModel":
         binner = (QuantileBinner(self.bin_source, self.n_bins, self.approx).fit(df)
                   if self.bin_source in df.columns else None)
-        med = median_expr(self.target, self.approx).alias("_fill")
         if binner is None or len(binner.edges) < 2:
-            return TieredBinModel(self.target, self.by, None, [], df.agg(med).first()[0])
-        binned = binner.transform(df, out="_bin")
-        # (bin, group), (bin) and () medians in one pass over the data
-        stats = (binned.groupingSets([["_bin", self.by], ["_bin"], []], "_bin", self.by)
-                 .agg(med, F.grouping_id("_bin", self.by).alias("_gid")).persist())
-        head = stats.limit(ParamTable.COLLECT_MAX_ROWS + 2).collect()
-        if len(head) <= ParamTable.COLLECT_MAX_ROWS + 1:  # small: split on the driver, no more jobs
-            stats.unpersist()
-            spark = df.sparkSession
-            glob = next((r["_fill"] for r in head if r["_gid"] == 3), None)
-            kb_schema = binned.select(self.by, "_bin", F.lit(0.0).alias("_fill")).schema
-            b_schema = binned.select("_bin", F.lit(0.0).alias("_fill")).schema
-            t_kb = ParamTable.from_rows(spark, [(r[self.by], r["_bin"], r["_fill"]) for r in head if r["_gid"] == 0
-                                                and r["_bin"] is not None and r[self.by] is not None],
-                                        kb_schema, [self.by, "_bin"])
-            t_b = ParamTable.from_rows(spark, [(r["_bin"], r["_fill"]) for r in head
-                                               if r["_gid"] == 1 and r["_bin"] is not None], b_schema, ["_bin"])
-            return TieredBinModel(self.target, self.by, binner, [t_kb, t_b], glob)
-        glob = stats.filter(F.col("_gid") == 3).select("_fill").first()[0]
-        has_bin = F.col("_bin").isNotNull()
-        t_kb = ParamTable(stats.filter((F.col("_gid") == 0) & has_bin & F.col(self.by).isNotNull())
-                          .select(self.by, "_bin", "_fill"), [self.by, "_bin"])
-        t_b = ParamTable(stats.filter((F.col("_gid") == 1) & has_bin).select("_bin", "_fill"), ["_bin"])
-        stats.unpersist()
-        return TieredBinModel(self.target, self.by, binner, [t_kb, t_b], glob)
+            return TieredBinModel(self.target, self.by, None, [], fill_tables(medians(df, self.target, [[]], self.approx), [[]])[1])
+        sets = [[self.by, "_bin"], ["_bin"], []]
+        tables, glob = fill_tables(medians(binner.transform(df, out="_bin"), self.target, sets, self.approx), sets)
+        return TieredBinModel(self.target, self.by, binner, tables, glob)
 
 
 @dataclass
@@ -256,11 +236,8 @@ class ConstantImputer(Estimator):
 
     def fit(self, df: DataFrame) -> "ConstantFillModel":
         want_mode = [c for c, v in self.fills.items() if v == "mode" and c in df.columns]
-        modes = {}
-        if want_mode:
-            row = df.agg(*[F.mode(F.col(c), True).alias(c) for c in want_mode]).first()
-            modes = {c: row[c] for c in want_mode}
-        values = {c: (modes.get(c) if v == "mode" else v) for c, v in self.fills.items()}
+        found = column_modes(df, {c: F.col(c) for c in want_mode}) if want_mode else {}
+        values = {c: (found.get(c) if v == "mode" else v) for c, v in self.fills.items()}
         return ConstantFillModel({c: v for c, v in values.items() if v is not None})
 
 

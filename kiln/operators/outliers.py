@@ -1,7 +1,7 @@
 """IQR bounds and clipping, log transforms, outlier report, range filter.
 
-All bound fits for all columns run as one aggregation (exact linear
-percentiles; ``approx=True`` switches to a fixed-size sketch).
+All bound fits for all columns share the passes of one selection (exact linear
+percentiles, ``ranks.py``; ``approx=True`` takes a fixed-size sketch in one pass).
 """
 
 from __future__ import annotations
@@ -13,19 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.base import Estimator, Model, Transformer, present, replace_columns
+from kiln.operators.ranks import column_quantiles
 
 
-def quartile_agg(c: str, approx: bool = False) -> Column:
-    return (F.percentile_approx(F.col(c), [0.25, 0.75], 10000) if approx
-            else F.percentile(F.col(c), [0.25, 0.75]))
-
-
-def iqr_bounds(df: DataFrame, columns: Sequence[str], k: float = 1.5, approx: bool = False) -> dict:
-    """O1: {column: (lower, upper)} with lower = q1 - k*iqr, upper = q3 + k*iqr, one job."""
+def iqr_bounds(df: DataFrame, columns: Sequence[str], k: float = 1.5, approx: bool = False, computed: bool = False) -> dict:
+    """O1: {column: (lower, upper)} with lower = q1 - k*iqr, upper = q3 + k*iqr (``computed``: see ``ranks.quantiles``)."""
     cols = present(df, columns)
     if not cols:
         return {}
-    row = df.agg(*[quartile_agg(c, approx).alias(c) for c in cols]).first()
+    row = (df.agg(*[F.percentile_approx(F.col(c), [0.25, 0.75], 10000).alias(c) for c in cols]).first() if approx
+           else column_quantiles(df, cols, [0.25, 0.75], computed))
     out = {}
     for c in cols:
         q = row[c]
@@ -53,7 +50,7 @@ class IQRClipper(Estimator):
     approx: bool = False
 
     def fit(self, df: DataFrame) -> "ClipModel":
-        return ClipModel(iqr_bounds(df, self.columns, self.k, self.approx))
+        return ClipModel(iqr_bounds(df, self.columns, self.k, self.approx, computed=True))
 
 
 @dataclass

@@ -17,6 +17,7 @@ from pyspark.sql.types import (BooleanType, DateType, DoubleType, FloatType, Int
                                StringType, TimestampNTZType, TimestampType)
 
 from kiln.functions.stats import chi2_sf, dagostino_k2
+from kiln.operators.ranks import column_quantiles, quantiles
 from kiln.session import materialize
 
 SQL_TYPE_NAMES = {StringType: "VARCHAR", LongType: "BIGINT", IntegerType: "INTEGER", DoubleType: "DOUBLE",
@@ -46,10 +47,22 @@ def profile_columns(df: DataFrame) -> DataFrame:
     return wide.selectExpr("_n AS n_rows", f"stack({len(cols)}, {items}) AS (column_name, position, data_type, n_non_null)")
 
 
-def quartiles(x: Column, approx: bool = False) -> Column:
-    """[q25, q50, q75]: exact linear percentiles, or a fixed-size sketch with ``approx``."""
-    qs = [0.25, 0.5, 0.75]
-    return F.percentile_approx(x, qs, 10000).cast("array<double>") if approx else F.percentile(x, qs)
+QUARTERS = [0.25, 0.5, 0.75]
+
+
+def quartile_table(df: DataFrame, column: str, by: str, approx: bool = False) -> DataFrame:
+    """(by, n, q): non-null values and their quartiles in each group with any."""
+    if approx:
+        return (df.groupBy(by).agg(F.count(column).alias("n"), F.percentile_approx(F.col(column), QUARTERS, 10000).cast("array<double>").alias("q"))
+                .filter("n > 0"))
+    return quantiles(df, [column], QUARTERS, [[by]], computed=True).select(by, "n", "q")
+
+
+def quartiles(df: DataFrame, cols: Sequence[str], approx: bool = False) -> dict:
+    """{column: [q25, q50, q75]}: exact linear percentiles by selection, or a fixed-size sketch with ``approx``."""
+    if not approx:
+        return column_quantiles(df, cols, QUARTERS)
+    return df.agg(*[F.percentile_approx(F.col(c), QUARTERS, 10000).cast("array<double>").alias(c) for c in cols]).first().asDict()
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
@@ -59,10 +72,12 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], approx: bool = False) -
         x = F.col(c)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
-                 quartiles(x, approx).alias(f"{c}__q"), F.max(x).cast("double").alias(f"{c}__max")]
+                 F.max(x).cast("double").alias(f"{c}__max")]
     wide = df.agg(*aggs)
-    long = _stack(wide, cols, ["count", "mean", "std", "min", "q", "max"],
-                  ["n", "mean", "std", "min", "q", "max"])
+    found = quartiles(df, cols, approx)
+    q = F.coalesce(*[F.when(F.col("column_name") == c, F.array(*[F.lit(v) for v in found[c]])) for c in cols if found[c]],
+                   F.lit(None).cast("array<double>"))
+    long = _stack(wide, cols, ["count", "mean", "std", "min", "max"], ["n", "mean", "std", "min", "max"]).withColumn("q", q)
     return long.select("column_name", "n", "mean", "std", "min", F.col("q")[0].alias("q25"),
                        F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
@@ -141,8 +156,7 @@ def box_summary(df: DataFrame, cols: Sequence[str] = (), value: str | None = Non
     outlier count, per column or per group of ``by``. Two aggregations."""
     if by is not None:
         x = F.col(value)
-        q = df.filter(F.col(by).isNotNull()).groupBy(by).agg(
-            quartiles(x, approx).alias("q"), F.count(x).alias("n"))
+        q = quartile_table(df.filter(F.col(by).isNotNull()), value, by, approx)
         fences = q.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                           F.col("q")[2].alias("q3"))
         fences = fences.withColumn("_lo", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
@@ -155,7 +169,11 @@ def box_summary(df: DataFrame, cols: Sequence[str] = (), value: str | None = Non
         return j.groupBy(by, "n", "q1", "median", "q3").agg(
             F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
             F.count_if(x.isNotNull() & ~inside).alias("n_outliers"))
-    wide = df.agg(*[quartiles(F.col(c), approx).alias(c) for c in cols]).first()
+    wide = {c: q for c, q in quartiles(df, cols, approx).items() if q}
+    cols = [c for c in cols if c in wide]  # a column without values has no box
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, n bigint, q1 double, median double, q3 double, "
+                                                   "whisker_low double, whisker_high double, n_outliers bigint")
     aggs = []
     for c in cols:
         q1, med, q3 = wide[c]
@@ -269,9 +287,13 @@ def semi_filter_top_n(df: DataFrame, col: str, n: int = 20) -> DataFrame:
 
 def group_median_ranked(df: DataFrame, key: str, value: str, approx: bool = False) -> DataFrame:
     """Median of ``value`` per ``key`` ranked descending (ties by key)."""
-    med = F.percentile_approx(F.col(value), 0.5, 10000).cast("double") if approx else F.median(value)
-    return (df.groupBy(key).agg(med.alias("median_value"), F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("median_value"), key))
+    if approx:
+        found = df.groupBy(key).agg(F.percentile_approx(F.col(value), 0.5, 10000).cast("double").alias("median_value"), F.count(F.lit(1)).alias("n"))
+    else:
+        middle = quantiles(df, [value], [0.5], [[key]], computed=True).select(F.col(key).alias("_key"), F.col("q")[0].alias("median_value"))
+        rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        found = rows.join(middle, F.col(key).eqNullSafe(F.col("_key")), "left").select(key, "median_value", "n")
+    return found.orderBy(F.desc("median_value"), key)
 
 
 def pareto_coverage(df: DataFrame, col: str, threshold: float = 0.8) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.base import Estimator, Model, present, replace_columns
+from kiln.operators.ranks import column_quantiles
 
 DEFAULT_COLUMNS = ("brand", "model_year", "mileage_num", "engine_hp", "engine_displacement")
 KINDS = ("standard", "robust", "minmax")
@@ -43,13 +44,12 @@ class Scaler(Estimator):
             x = F.col(c)
             if self.kind == "standard":
                 aggs += [F.avg(x).alias(f"{c}__a"), F.stddev_pop(x).alias(f"{c}__b")]
-            elif self.kind == "robust":
-                q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>") if self.approx
-                     else F.percentile(x, [0.25, 0.5, 0.75]))
-                aggs += [q.alias(f"{c}__q")]
-            else:
+            elif self.kind == "robust" and self.approx:
+                aggs += [F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>").alias(f"{c}__q")]
+            elif self.kind == "minmax":
                 aggs += [F.min(x).alias(f"{c}__a"), F.max(x).alias(f"{c}__b")]
-        row = df.agg(*aggs).first()
+        row = (df.agg(*aggs).first() if aggs
+               else {f"{c}__q": q for c, q in column_quantiles(df, cols, [0.25, 0.5, 0.75]).items()})
         params = {}
         for c in cols:
             if self.kind == "standard":

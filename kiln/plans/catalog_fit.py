@@ -128,14 +128,9 @@ FROM {src}""")
 
 @register("iqr_bounds", Q.with_ctes(LI_SQL, body=_bounds_sql("li", LI_COLS)))
 def iqr_bounds(spark, sf):
-    """O1: IQR fences (q1 - 1.5 iqr, q3 + 1.5 iqr) for four lineitem measures, one aggregation."""
-    df = lineitem_gross(spark, sf)
-    wide = df.agg(*[O.quartile_agg(c).alias(c) for c in LI_COLS])
-    stack = ", ".join(f"'{c}', `{c}`" for c in LI_COLS)
-    long = wide.selectExpr(f"stack({len(LI_COLS)}, {stack}) AS (column_name, q)")
-    iqr = F.col("q")[1] - F.col("q")[0]
-    return long.select("column_name", (F.col("q")[0] - 1.5 * iqr).alias("lower_bound"),
-                       (F.col("q")[1] + 1.5 * iqr).alias("upper_bound"))
+    """O1: IQR fences (q1 - 1.5 iqr, q3 + 1.5 iqr) for four lineitem measures, one selection."""
+    bounds = O.iqr_bounds(lineitem_gross(spark, sf), LI_COLS)
+    return spark.createDataFrame([(c, *b) for c, b in bounds.items()], "column_name string, lower_bound double, upper_bound double")
 
 
 @register("iqr_clip", Q.with_ctes(LI_SQL, f"b AS ({_bounds_sql('li', ['gross'])})", body="""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kiln.operators import profile as X
+from kiln.operators.ranks import modes, quantiles
 from kiln.plans import sqlparts as Q
 from kiln.plans.catalog_fit import lineitem_gross
 from kiln.plans.catalog_prep import cleaned, featured
@@ -291,3 +292,36 @@ def head_rows(spark, sf):
 def scatter_points(spark, sf):
     """(mileage, price) point pairs behind the scatter plot, every listing."""
     return cleaned(spark, sf).select("listing_id", "mileage_num", "price_usd")
+
+
+# ------------------------------------------- exact quantiles and modes of wide columns
+
+_QS = [0.01, 0.25, 0.5, 0.75, 0.99]
+_Q_SQL = ", ".join(f"quantile_cont(l_extendedprice, {q}) AS q{i}" for i, q in enumerate(_QS))
+
+
+@register("quantiles_by_group", f"""
+SELECT l_returnflag, count(l_extendedprice) AS n, {_Q_SQL} FROM lineitem GROUP BY l_returnflag
+UNION ALL SELECT NULL, count(l_extendedprice), {_Q_SQL} FROM lineitem""")
+def quantiles_by_group(spark, sf):
+    """Exact quantiles of a column of nearly distinct values, per group and over all rows, in one selection."""
+    found = quantiles(table(spark, sf, "lineitem"), ["l_extendedprice"], _QS, [["l_returnflag"], []])
+    return found.select("l_returnflag", "n", *[F.col("q")[i].alias(f"q{i}") for i in range(len(_QS))])
+
+
+@register("quantiles_many_groups", """
+SELECT l_partkey, count(l_extendedprice) AS n, quantile_cont(l_extendedprice, 0.5) AS median FROM lineitem GROUP BY l_partkey""")
+def quantiles_many_groups(spark, sf):
+    """Exact medians of very many groups."""
+    found = quantiles(table(spark, sf, "lineitem"), ["l_extendedprice"], [0.5], [["l_partkey"]])
+    return found.select("l_partkey", "n", F.col("q")[0].alias("median"))
+
+
+@register("modes_by_group", """
+WITH c AS (SELECT lang, text, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1, 2),
+a AS (SELECT text, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 1)
+SELECT lang, text AS value, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, text) AS k FROM c) WHERE k = 1
+UNION ALL SELECT NULL, text, n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, text) AS k FROM a) WHERE k = 1""")
+def modes_by_group(spark, sf):
+    """The most frequent whole text, per language and over all documents (almost as many values as rows)."""
+    return modes(table(spark, sf, "documents"), ["text"], [["lang"], []]).select("lang", "value", "n")
