@@ -3,8 +3,8 @@ champion/challenger gates, scoring helpers.
 
 Metrics are one aggregation over (label, prediction) pairs, optionally per
 group; both gate decisions are projections of that one-row table. The
-multivariate fit is Spark ML's ``LinearRegression`` (one distributed pass
-for the normal equations below 4 096 features, L-BFGS above).
+multivariate fit is least squares from the Gram matrix (``leastsq.py``), or any
+Spark ML regressor.
 """
 
 from __future__ import annotations
@@ -14,13 +14,11 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions import rules as R
-
-NORMAL_SOLVER_MAX_FEATURES = 4096
+from kiln.operators.leastsq import LinearModel, fit_linear
 
 
 @dataclass
@@ -28,7 +26,8 @@ class LinearTrainer:
     """M1/M2: OLS with optional intercept on named feature columns.
 
     ``estimator`` may be any Spark ML regressor taking ``featuresCol`` /
-    ``labelCol`` (M2: pluggable algorithm); default is unregularised OLS.
+    ``labelCol`` (M2: pluggable algorithm); default is unregularised OLS with
+    least-norm coefficients.
     Rows with a null label or feature are dropped before fitting.
     """
 
@@ -38,18 +37,17 @@ class LinearTrainer:
     estimator: object = None
     prediction: str = "prediction"
 
-    def fit(self, df: DataFrame) -> PipelineModel:
+    def fit(self, df: DataFrame) -> PipelineModel | LinearModel:
         cols = list(self.features)
-        est = self.estimator or LinearRegression(
-            solver="normal" if len(cols) <= NORMAL_SOLVER_MAX_FEATURES else "l-bfgs",
-            regParam=0.0, elasticNetParam=0.0, fitIntercept=self.fit_intercept, standardization=False)
-        est = est.setFeaturesCol("_features").setLabelCol(self.label).setPredictionCol(self.prediction)
+        if self.estimator is None:
+            return fit_linear(df, cols, self.label, self.fit_intercept, self.prediction)
+        est = self.estimator.setFeaturesCol("_features").setLabelCol(self.label).setPredictionCol(self.prediction)
         clean = df.dropna(subset=[self.label, *cols])
         assembler = VectorAssembler(inputCols=cols, outputCol="_features", handleInvalid="keep")
         return Pipeline(stages=[assembler, est]).fit(clean)
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None,
+def predict(model: PipelineModel | LinearModel, df: DataFrame, keep: Sequence[str] | None = None,
             prediction: str = "prediction") -> DataFrame:
     """Apply a fitted model; rows with a missing feature get a null prediction
     (the assembler would otherwise carry NaN into every metric)."""

@@ -113,7 +113,7 @@ class ScoringBundle:
     """Fitted preprocessing + regression; scores raw rows to prices."""
 
     preprocess: PreprocessModel
-    regression: PipelineModel
+    regression: PipelineModel | M.LinearModel
     key: str = "listing_id"
 
     def score(self, raw: DataFrame, keep_label: bool = False) -> DataFrame:
@@ -126,6 +126,16 @@ class ScoringBundle:
         return pred.select(*keep, "prediction", F.expm1("prediction").alias("price"))
 
 
+    def beside(self, raw: DataFrame, out: str) -> DataFrame:
+        """``raw`` with its log-scale prediction as column ``out`` and, if it has a price, the log label: no join,
+        so several models can be scored on one frame."""
+        enc = self.preprocess.transform(raw.withColumn("_raw", F.struct(*[F.col(c) for c in raw.columns])).drop(TARGET))
+        keep = ["_raw"] + ([TARGET] if TARGET in enc.columns else [])
+        pred = M.predict(self.regression, E.align_features(enc, self.preprocess.feature_names, keep=keep))
+        label = [F.col(TARGET)] if TARGET in enc.columns and TARGET not in raw.columns else []
+        return pred.select(*[F.col("_raw")[c].alias(c) for c in raw.columns], *label, F.col("prediction").alias(out))
+
+
 @dataclass
 class TrainingResult:
     bundle: ScoringBundle
@@ -170,9 +180,8 @@ def run_training(raw: DataFrame, key: str = "listing_id", test_ratio: float = R.
     metrics = M.regression_metrics(scored, TARGET, "prediction", "linear_regression")
     gate = M.quality_gate(metrics, min_r2)
     if champion is not None:
-        old = champion.score(test).select(key, F.col("prediction").alias("prediction_old"))
-        both = scored.join(old, key)
-        decision = M.champion_challenger(both, TARGET, "prediction", "prediction_old", min_improvement)
+        both = champion.beside(bundle.beside(test, "_new"), "_old")
+        decision = M.champion_challenger(both, TARGET, "_new", "_old", min_improvement)
     else:
         decision = M.champion_challenger(scored, TARGET, "prediction", None, min_improvement)
     return TrainingResult(bundle, metrics, gate, decision, n_train, dropped, [matrix, scored])
