@@ -19,6 +19,7 @@ from kiln.plans.pipeline import CustomStep, Preprocessor, run_training
 from kiln.plans.registry import register
 from kiln.session import table
 from kiln.sources import readers as RD
+from kiln.sources.csvsplit import read_csv_split
 from kiln.sources import sinks as K
 from kiln.sources.fixtures import LISTINGS_SQL, listings
 from kiln.sources.spec import raw_schema
@@ -53,6 +54,16 @@ def scan_csv_roundtrip(spark, sf):
     return RD.read_source(spark, {"path": path}, raw_schema("listing_id"))
 
 
+@register("scan_csv_ranges", "SELECT doc_id, text, lang FROM documents")
+def scan_csv_ranges(spark, sf):
+    """Whole documents, line feeds and quotes included, written as CSV and read back in byte ranges of 1 MB."""
+    path = K.scratch_path(spark, "documents_csv")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    (docs.write.option("header", True).option("escape", '"').option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return read_csv_split(spark, path, docs.schema, range_bytes=1 << 20)
+
+
 def _documents(spark, sf):
     docs = listings(spark, sf).withColumn("_id", F.col("listing_id").cast("string"))
     path = K.scratch_path(spark, "listings_docs")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
+from kiln.sources.csvsplit import read_csv_split
 from kiln.sources.spec import SYSTEM_ID_COLUMN, raw_schema
 
 # The tokens pandas' CSV reader treats as missing by default.
@@ -21,11 +22,13 @@ PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Header CSV with an explicit schema; quoted multi-line fields allowed."""
+def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, quoted_lines: bool = True) -> DataFrame:
+    """Header CSV with an explicit schema. Fields may hold line feeds (``csvsplit.py``: two passes over byte
+    ranges, records written once to the checkpoint folder) unless ``quoted_lines`` is off (one lazy, splittable scan)."""
+    if quoted_lines:
+        return read_csv_split(spark, path, schema or raw_schema())
     return (spark.read.schema(schema or raw_schema())
-            .option("header", True).option("mode", "PERMISSIVE")
-            .option("multiLine", True).option("escape", '"')
+            .option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
             .csv(path))
 
 
