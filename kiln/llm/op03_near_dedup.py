@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.frames import col, stored
@@ -53,6 +53,8 @@ ALLOWED_DIFFERENT = 43
 SMALL = 32
 #: Members of a large group that share one copy of its smallest member's set.
 PER_PART = 256
+#: A group's element counts travel in so many shares, and so many of them are added up at once.
+SHARES, FAN = 8, 256
 #: Same threshold as a bound of the XOR's population count.
 XOR_BOUND = int(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * ALLOWED_DIFFERENT)))
 
@@ -173,6 +175,82 @@ def _small_rest(placed: DataFrame) -> DataFrame:
     return apart.join(other, "bucket").filter("ca <> cb and (cb = main or a < b)").select("a", "b")
 
 
+def _cells(elements: np.ndarray) -> np.ndarray:
+    return (mix(elements.view(np.uint64)) >> np.uint64(48)).astype(np.int64)
+
+
+def _packed_cells(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    return cells.astype(np.uint16).tobytes() + counts.astype(np.int64).tobytes()
+
+
+def _unpacked_cells(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(packed) // 10
+    return np.frombuffer(packed, np.uint16, n), np.frombuffer(packed, np.int64, n, 2 * n)
+
+
+def _cell_counts(differ: DataFrame) -> DataFrame:
+    """(main, share, packed): how many elements of a group fall into each of 65 536 hashed cells, in ``SHARES`` shares
+    of the cells; parts count their own members, then ``FAN`` counts at a time are added up, so no task meets a
+    large group's members or all of its parts."""
+
+    def count(group: pa.Table) -> pa.Table:
+        total = np.bincount(_cells(group.column("elements").combine_chunks().flatten().to_numpy()), minlength=1 << 16)
+        used = np.flatnonzero(total)
+        edges = np.searchsorted(used, np.arange(SHARES + 1) * ((1 << 16) // SHARES))
+        rows = [(s, _packed_cells(used[a:b], total[used[a:b]])) for s, (a, b) in enumerate(zip(edges[:-1], edges[1:]))]
+        main, part = (group.column(c)[0].as_py() for c in ("main", "part"))
+        return pa.table({"main": [main] * SHARES, "part": [part] * SHARES, "share": pa.array([r[0] for r in rows], pa.int32()),
+                         "packed": pa.array([r[1] for r in rows], pa.binary())})
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(1 << 16, np.int64)
+        for packed in group.column("packed").to_pylist():
+            cells, counts = _unpacked_cells(packed)
+            total[cells] += counts
+        used = np.flatnonzero(total)
+        return pa.table({"main": [group.column("main")[0].as_py()], "part": [group.column("part")[0].as_py()],
+                         "share": pa.array([group.column("share")[0].as_py()], pa.int32()),
+                         "packed": pa.array([_packed_cells(used, total[used])], pa.binary())})
+
+    schema = "main long, part long, share int, packed binary"
+    counts = differ.select("main", "part", "elements").groupBy("main", "part").applyInArrow(count, schema)
+    most = differ.agg(F.max("parts")).first()[0] or 0
+    while most > 1:
+        counts = (counts.withColumn("part", F.floor(F.col("part") / FAN).cast("long")).groupBy("main", "share", "part")
+                  .applyInArrow(add, schema))
+        most = -(-most // FAN)
+    return counts.select("main", "share", "packed")
+
+
+def _prefixes(differ: DataFrame, percent: int) -> DataFrame:
+    """(main, id, component, apart, n, d, element, place): the elements that a member of a group must share one of
+    with whoever is similar to it, in the order of their cells' counts (any order common to a group will do; rare
+    elements come first). An element alone in its cell finds nobody and is left out, but keeps its place."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        total = np.zeros(1 << 16, np.int64)
+        for packed in right.column("packed").to_pylist():
+            cells, counts = _unpacked_cells(packed)
+            total[cells] = counts
+        lists = left.column("elements").combine_chunks()
+        n = left.column("n").to_numpy()
+        size = lists.value_lengths().to_numpy()
+        owner = np.repeat(np.arange(len(size)), size)
+        elements = lists.flatten().to_numpy()
+        often = total[_cells(elements)]
+        order = np.lexsort((elements, often, owner))  # owners' elements stay together
+        place = np.arange(len(order)) - np.repeat(np.cumsum(size) - size, size) + 1
+        keep = (often[order] > 1) & (percent * (place - 1) <= (100 - percent) * n[owner])
+        at = pa.array(owner[keep])
+        return pa.table({c: left.column(c).combine_chunks().take(at) for c in ("main", "id", "component", "apart", "n")} | {
+            "d": pa.array(size[owner[keep]].astype(np.int32)), "element": pa.array(elements[order][keep]),
+            "place": pa.array(place[keep].astype(np.int32))})
+
+    copies = _cell_counts(differ).join(differ.select("main", "part").distinct().toDF("main", "of"), "main").toDF("to", "share", "packed", "of")
+    return differ.groupBy("main", "part").cogroup(copies.groupBy("to", "of")).applyInArrow(
+        run, "main long, id long, component long, apart boolean, n int, d int, element long, place int")
+
+
 def _large_rest(placed: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The same for large buckets, by a prefix join on the sets' differences from their component's smallest member."""
     group = placed.groupBy("main", "id").agg(F.first("component").alias("component"))
@@ -186,17 +264,10 @@ def _large_rest(placed: DataFrame, texts: DataFrame, shingle: int, percent: int)
     smallest = (group.select("main", "parts").distinct()
                 .join(sets.groupBy(F.col("id").alias("main")).agg(F.min("shingles").alias("l")), "main")
                 .select("main", "l", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
-    differ = (group.join(sets.toDF("id", "s"), "id").join(smallest, ["main", "part"])
-              .select("main", "id", F.xxhash64("s").alias("version"), "component", "apart", F.size("s").alias("n"),
-                      F.concat(F.array_except("s", "l"), F.array_except("l", "s")).alias("elements"))
-              .select("main", "id", "version", "component", "apart", "n", F.size("elements").alias("d"),
-                      F.explode("elements").alias("element")))
-    differ = stored(differ)
-    counted = differ.withColumn("often", F.count(F.lit(1)).over(Window.partitionBy("main", "element")))
-    rarest = Window.partitionBy("main", "id", "version").orderBy("often", "element")
-    # alone in its group, an element finds nobody, but it keeps its place in the order; no partner can need later places
-    ranked = stored(counted.withColumn("place", F.row_number().over(rarest))
-                    .filter((F.col("often") > 1) & (percent * (F.col("place") - 1) <= (100 - percent) * F.col("n"))))
+    differ = stored(group.join(sets.toDF("id", "s"), "id").join(smallest, ["main", "part"])
+                    .select("main", "part", "parts", "id", "component", "apart", F.size("s").alias("n"),
+                            F.concat(F.array_except("s", "l"), F.array_except("l", "s")).alias("elements")))
+    ranked = stored(_prefixes(differ, percent))
     a = ranked.filter("apart").select("main", "element", *[F.col(c).alias(f"{c}1") for c in ("id", "component", "n", "d", "place")])
     b = ranked.select("main", "element", "apart", *[F.col(c).alias(f"{c}2") for c in ("id", "component", "n", "d", "place")])
     most = (F.col("n1") + F.col("n2")) * (100 - percent) / (100 + percent)
