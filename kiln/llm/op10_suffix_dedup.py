@@ -3,10 +3,10 @@
 A byte is removed if a string of ``length`` bytes around it also starts
 anywhere else, in the same document or another.
 
-1. Anchors. Every string of ``length`` bytes has one minimal ``GRAM``-byte gram
+1. Anchors. Every string of ``length`` bytes has one minimal gram of up to ``GRAM`` bytes
    (by hash; the first of equal ones), so equal strings have equal anchors at
    the same place. Neighbouring strings mostly share theirs: about two anchors
-   for each ``length - GRAM`` bytes. Anchors are counted over the whole corpus
+   for each ``length`` bytes less the gram's. Anchors are counted over the whole corpus
    in packed rows (see ``packed``); strings whose anchor is unique cannot repeat.
 2. Suffix order. For an anchor that occurs again, its context (all strings it
    is minimal in) goes to the bucket of its gram. Equal contexts are counted as
@@ -41,6 +41,7 @@ from kiln.llm.lyndon import suffix_array
 from kiln.llm.packed import SCHEMA, Packer, answers, bucket_bits, by_id, unpack, whole_key
 from kiln.llm.textbytes import bound_batches, flat, mix, powers, runs, slices
 
+#: Bytes of an anchor's gram for strings of 400 bytes and more (``gram_bytes``).
 GRAM = 128
 SYMBOL = 32
 #: Symbols sorted in one suffix array at most, unless one anchor alone has more.
@@ -48,6 +49,11 @@ BUNDLE = 30_000
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
+def gram_bytes(length: int) -> int:
+    """Shorter strings have shorter grams in proportion, so their anchors lie no closer than that."""
+    return max(1, min(GRAM, length * GRAM // 400))
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(col(id_col).cast("string"), col(text_col).cast("string"))
 
@@ -56,14 +62,15 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     """Anchors of the strings of ``length`` bytes in the texts: gram hash, text,
     place, first and last string start (places count from the text's start)."""
     none = np.zeros(0, np.int64)
-    width = length - GRAM + 1
-    grams = len(data) - GRAM + 1
+    gram = gram_bytes(length)
+    width = length - gram + 1
+    grams = len(data) - gram + 1
     if grams < width:
         return none.astype(np.uint64), none, none, none, none
     up, down = powers(_BASE, len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    h = mix((sums[GRAM:] - sums[:-GRAM]) * down[:grams])
+    h = mix((sums[gram:] - sums[:-gram]) * down[:grams])
     # the smallest of every `width` consecutive hashes, with its place in the low bits
     place = np.uint64(max(1, int(grams).bit_length()))
     ranked = ((h >> place) << place) | np.arange(grams, dtype=np.uint64)
