@@ -290,13 +290,15 @@ class FrequencyEncoder(Estimator):
 
     def fit(self, df: DataFrame) -> "FrequencyModel":
         cols = present(df, self.columns)
-        counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_distinct(c).alias(c) for c in cols]).first()
+        total = df.count()
         tables = {}
-        for c in cols:
-            if counts[c] > self.threshold:
-                freq = (df.filter(F.col(c).isNotNull()).groupBy(c).count()
-                        .select(c, (F.col("count") / F.lit(counts["_n"])).alias("_freq")))
-                tables[c] = ParamTable(freq, [c])
+        for c in cols:  # the frequency table itself says how many values there are
+            freq = df.filter(F.col(c).isNotNull()).groupBy(c).count().select(c, (F.col("count") / F.lit(total)).alias("_freq"))
+            table = ParamTable(freq, [c])
+            if table.rows > self.threshold:
+                tables[c] = table
+            else:
+                table.unpersist()
         return FrequencyModel(tables, self.suffix)
 
 

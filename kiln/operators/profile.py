@@ -200,10 +200,30 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Distinct non-null values per column (``approx`` uses HyperLogLog++)."""
     cols = list(cols or df.columns)
-    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(F.col(c)))
-    wide = df.agg(*[fn(c).alias(c) for c in cols])
-    items = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {items}) AS (column_name, n_distinct)")
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols])
+        items = ", ".join(f"'{c}', `{c}`" for c in cols)
+        return wide.selectExpr(f"stack({len(cols)}, {items}) AS (column_name, n_distinct)")
+    counted = value_frequencies(df, cols).groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")  # a column without values has 0
+    return names.join(counted, "column_name", "left").select("column_name", F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"))
+
+
+def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value, n): how often each non-null value occurs in each column, as text.
+
+    All columns share one pass and one shuffle of (column, value) pairs that are
+    counted before it, so a hot value travels as one row a task and no row is
+    copied for every column of a distinct count (-0.0 counts as 0.0)."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def text(c: str) -> Column:
+        x = F.col(c)
+        return (x + 0.0 if isinstance(kinds[c], (DoubleType, FloatType)) else x).cast("string")
+
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), text(c).alias("value")) for i, c in enumerate(cols)])
+    counts = df.select(F.inline(pairs)).filter("value IS NOT NULL").groupBy("c", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.array(*[F.lit(c) for c in cols])[F.col("c")].alias("column_name"), "value", "n")
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -213,6 +233,15 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return counts.select("value", "n", (F.col("n") / F.lit(total)).alias("proportion")).orderBy(F.desc("n"), "value")
 
 
+def share_long(df: DataFrame, row: str, col: str) -> DataFrame:
+    """X15 in long form: (row, col, n, share) of every pair that occurs, for any number of values on either side.
+
+    Shares come from the rows' totals joined back, so no row's values meet in one task."""
+    counts = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy(F.col(row).alias("_row")).agg(F.sum("n").alias("_total"))
+    return counts.join(totals, F.col(row).eqNullSafe(F.col("_row"))).select(row, col, "n", (F.col("n") / F.col("_total")).alias("share"))
+
+
 def share_pivot(df: DataFrame, row: str, col: str, max_values: int = 1000) -> DataFrame:
     """Share of each ``col`` value within each ``row`` value, pivoted wide,
     missing -> 0. Counts are aggregated before the pivot."""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
@@ -61,6 +61,41 @@ def validate(parts: Mapping[str, DataFrame], declared: Sequence[str] = S.RAW_COL
     return ValidationResult(not msgs, msgs)
 
 
+REASONS, QUARANTINE = "_reasons", "_quarantined"
+
+
+def row_reasons(df: DataFrame, declared: Mapping[str, str] = S.DECLARED_TYPES, numeric_text: Sequence[str] = S.DIRTY_TEXT_COLUMNS,
+                required: Sequence[str] = ("brand", "price")) -> Column:
+    """Array of what is wrong with a row: ``missing <column>`` for required columns without a value, ``unparsable
+    <column>`` for numbers that don't parse. Columns that the table lacks are the schema check's business."""
+    checks = [F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in required if c in df.columns]
+    for c in declared:
+        if c not in df.columns:
+            continue
+        if c in numeric_text:
+            parsed = T.clean_currency(F.col(c)) if c == "price" else T.clean_distance(F.col(c))
+        elif declared[c] == "int64":
+            parsed = F.col(c).cast("string").try_cast("bigint")
+        else:
+            continue
+        checks.append(F.when(F.col(c).isNotNull() & parsed.isNull(), F.lit(f"unparsable {c}")))
+    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+
+
+def route_rows(df: DataFrame, **options) -> DataFrame:
+    """V4, enforcing: every row with ``_reasons`` and ``_quarantined`` (any reason), in one lazy pass."""
+    return df.withColumn(REASONS, row_reasons(df, **options)).withColumn(QUARANTINE, F.size(REASONS) > 0)
+
+
+def accept_rows(df: DataFrame, quarantine_path: str, **options) -> DataFrame:
+    """V4, enforcing: rows without a reason; the others are written, reasons included, to ``quarantine_path``.
+
+    Every row is in exactly one of the two."""
+    routed = route_rows(df, **options)
+    routed.filter(QUARANTINE).drop(QUARANTINE).write.mode("overwrite").parquet(quarantine_path)
+    return routed.filter(~F.col(QUARANTINE)).drop(REASONS, QUARANTINE)
+
+
 def castability(df: DataFrame, declared: Mapping[str, str] = S.DECLARED_TYPES,
                 numeric_text: Sequence[str] = S.DIRTY_TEXT_COLUMNS) -> DataFrame:
     """V4: per declared column: type matches, non-null count, and for numeric

@@ -167,6 +167,26 @@ def validation_castability(spark, sf):
 
 # ------------------------------------------------------------------ P1-P3, K2, K3
 
+_DIRTY_SQL = """dirty AS (SELECT * REPLACE (CASE WHEN listing_id % 11 = 0 THEN NULL ELSE brand END AS brand,
+  CASE WHEN listing_id % 17 = 0 THEN 'ask' ELSE price END AS price) FROM listings)"""
+
+
+@register("quarantine_reasons", Q.with_ctes(*L, _DIRTY_SQL, body="""
+SELECT reason, count(*) AS n FROM (
+  SELECT 'missing brand' AS reason FROM dirty WHERE brand IS NULL UNION ALL SELECT 'unparsable price' FROM dirty WHERE price = 'ask'
+  UNION ALL SELECT 'unparsable milage' FROM dirty WHERE milage = 'unknown') GROUP BY 1
+UNION ALL SELECT 'accepted', count(*) FROM dirty WHERE brand IS NOT NULL AND price <> 'ask' AND milage <> 'unknown'"""))
+def quarantine_reasons(spark, sf):
+    """V4, enforcing: listings with missing brands and prices and mileages that don't parse, routed; rows per reason and accepted."""
+    k = F.col("listing_id")
+    dirty = listings(spark, sf).withColumns({"brand": F.when(k % 11 != 0, F.col("brand")),
+                                             "price": F.when(k % 17 == 0, F.lit("ask")).otherwise(F.col("price"))})
+    path = K.scratch_path(spark, "quarantine")
+    good = V.accept_rows(dirty, path)
+    bad = spark.read.parquet(path).select(F.explode(V.REASONS).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return bad.unionByName(good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("accepted").alias("reason"), "n"))
+
+
 @register("split_hash", Q.with_ctes(*L, _SPLIT_SQL, body="SELECT listing_id, part AS split FROM split"))
 def split_hash(spark, sf):
     """P1 (scalable): md5-hash split with test ratio 0.25."""

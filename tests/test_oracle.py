@@ -11,6 +11,8 @@ from tools.oracle_check import compare
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
+#: Queries without SQL whose result is empty on the smallest tables (no phrase is frequent enough, say).
+EMPTY_AT_THIS_SIZE: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +27,7 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     got = QUERIES[name](spark, SF_SMALL).toPandas()
     if name not in ORACLE:
-        assert len(got) >= 0
+        assert len(got) > 0 or name in EMPTY_AT_THIS_SIZE
         return
     want = duck.execute(ORACLE[name]).df()
     assert compare(got, want) == "OK"

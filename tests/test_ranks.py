@@ -107,3 +107,28 @@ def test_modes(spark):
     assert found[0, "d"] == ("only 0", 1)  # ties: the smallest
     assert R.column_modes(df.withColumn("i", F.lit(3)), {"v": F.col("v"), "i": F.col("i")}) == {"v": found[1, None][0], "i": 3}
     assert R.column_modes(df.limit(0), {"v": F.col("v")}) == {"v": None}
+
+
+def test_share_long_and_value_frequencies(spark):
+    from kiln.operators import profile as X
+    rows = [("a", "x", 0.0), ("a", "x", -0.0), ("a", None, 1.5), (None, "y", None), ("b", "é", 1.5)]
+    df = spark.createDataFrame(rows, "g string, v string, d double")
+    got = {(r["g"], r["v"]): (r["n"], r["share"]) for r in X.share_long(df, "g", "v").collect()}
+    assert got == {("a", "x"): (2, pytest.approx(2 / 3)), ("a", None): (1, pytest.approx(1 / 3)), (None, "y"): (1, 1.0), ("b", "é"): (1, 1.0)}
+    plan = X.distinct_counts(df)
+    assert "Expand" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert {r["column_name"]: r["n_distinct"] for r in plan.collect()} == {"g": 2, "v": 3, "d": 2}
+    assert {r["column_name"]: r["n_distinct"] for r in X.distinct_counts(df.limit(0)).collect()} == {"g": 0, "v": 0, "d": 0}
+
+
+def test_quarantine_takes_every_row_once(spark):
+    from kiln.operators import validate as V
+    from kiln.sources.sinks import scratch_path
+    rows = [("Ford", "$1,000", "5 mi.", 2020), (None, "ask", "5 mi.", 2020), ("Kia", None, "far", 2021), ("Kia", "$5", None, None)]
+    df = spark.createDataFrame(rows, "brand string, price string, milage string, model_year long")
+    path = scratch_path(spark, "quarantine")
+    good = V.accept_rows(df, path)
+    assert good.columns == df.columns and [tuple(r) for r in good.orderBy("price").collect()] == [rows[0], rows[3]]
+    bad = {tuple(r)[:4]: r[V.REASONS] for r in spark.read.parquet(path).collect()}
+    assert bad == {rows[1]: ["missing brand", "unparsable price"], rows[2]: ["missing price", "unparsable milage"]}
+    assert V.accept_rows(df.limit(0), scratch_path(spark, "quarantine")).count() == 0
