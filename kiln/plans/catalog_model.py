@@ -205,6 +205,20 @@ def split_exact(spark, sf):
     return spark.read.parquet(path).select("listing_id", "split")
 
 
+@register("split_exact_repeated", """
+WITH r AS (SELECT CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS flag, l_extendedprice FROM lineitem),
+k AS (SELECT count(*) AS n, CAST(ceil(count(*) * 0.25) AS BIGINT) AS n_test, CAST(sum(round(l_extendedprice * 100)) AS BIGINT) AS cents,
+             count(flag) AS n_keys FROM r)
+SELECT n_test, n - n_test AS n_train, cents, n_keys FROM k""")
+def split_exact_repeated(spark, sf):
+    """P1 (exact size) by a key of three values and nulls: the size is exact, and every row is in one part."""
+    li = table(spark, sf, "lineitem").select(F.when(F.col("l_partkey") % 3 != 0, F.col("l_returnflag")).alias("flag"),
+                                             "l_orderkey", "l_linenumber", "l_extendedprice")
+    s = P.exact_split(li, "flag", R.TEST_RATIO)
+    return s.agg(F.count_if(F.col("split") == "test").alias("n_test"), F.count_if(F.col("split") == "train").alias("n_train"),
+                 F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"), F.count("flag").alias("n_keys"))
+
+
 @register("kfold_assign", Q.with_ctes(*L, body=f"SELECT listing_id, CAST({Q.hash32_sql('listing_id')} % 5 AS INTEGER) AS fold FROM listings"))
 def kfold_assign(spark, sf):
     """5 hash folds."""
