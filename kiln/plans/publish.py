@@ -23,11 +23,9 @@ step (HDFS; locally it is a check and a rename).
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +33,7 @@ from kiln.functions import rules as R
 from kiln.operators import model as M
 from kiln.operators.split import hash_split
 from kiln.plans.pipeline import TARGET, run_training
+from kiln.sources.hadoop import Folder
 from kiln.sources.sinks import load_model, save_model
 
 RECORD = ("seq long, run_id string, outcome string, r2_new double, r2_old double, champion_before string, "
@@ -43,25 +42,12 @@ RECORD = ("seq long, run_id string, outcome string, r2_new double, r2_old double
 
 class Registry:
     def __init__(self, spark: SparkSession, root: str, name: str):
-        self.spark, self.folder = spark, f"{root.rstrip('/')}/{name}"
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _exists(self, path: str) -> bool:
-        p = self._path(path)
-        return p.getFileSystem(self._conf).exists(p)
-
-    def _children(self, path: str) -> list[str]:
-        p = self._path(path)
-        fs = p.getFileSystem(self._conf)
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+        self.spark, self.files = spark, Folder(spark, f"{root.rstrip('/')}/{name}")
+        self.folder = self.files.path
 
     def records(self) -> DataFrame:
         """All decisions, one row each."""
-        if not any(n.endswith(".json") for n in self._children(f"{self.folder}/log")):
+        if not any(n.endswith(".json") for n in self.files.children("log")):
             return self.spark.createDataFrame([], RECORD)
         return self.spark.read.schema(RECORD).json(f"{self.folder}/log/*.json")
 
@@ -69,7 +55,7 @@ class Registry:
         return f"{self.folder}/models/{run_id}"
 
     def staged(self, run_id: str) -> bool:
-        return self._exists(f"{self.model_path(run_id)}/manifest/_SUCCESS")
+        return self.files.exists(f"models/{run_id}/manifest/_SUCCESS")
 
     def stage(self, run_id: str, model) -> None:
         save_model(model, self.model_path(run_id), self.spark)
@@ -77,27 +63,11 @@ class Registry:
     def unfinished(self) -> list[str]:
         """Runs with a staged model and no record."""
         decided = {r["run_id"] for r in self.records().select("run_id").collect()}
-        return [r for r in self._children(f"{self.folder}/models") if r not in decided]
+        return [r for r in self.files.children("models") if r not in decided]
 
     def commit(self, record: dict) -> bool:
         """Write the record under its number; False if the number is taken."""
-        fs_api = self._jvm.org.apache.hadoop.fs
-        aside, target = self._path(f"{self.folder}/log/.{uuid.uuid4().hex}"), self._path(f"{self.folder}/log/{record['seq']:020d}.json")
-        fs = target.getFileSystem(self._conf)
-        out = fs.create(aside, False)
-        out.write(bytearray(json.dumps(record).encode() + b"\n"))
-        out.close()
-        rename = getattr(fs_api, "Options$Rename")
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.NONE
-        try:
-            fs_api.FileContext.getFileContext(target.toUri(), self._conf).rename(aside, target, options)
-        except Py4JJavaError as e:
-            fs.delete(aside, False)
-            if "FileAlreadyExists" in e.java_exception.getClass().getName():
-                return False
-            raise
-        return True
+        return self.files.create_once(f"log/{record['seq']:020d}.json", json.dumps(record).encode() + b"\n")
 
 
 def decide(registry: Registry, run_id: str, test: DataFrame, label: str, min_r2: float, min_improvement: float) -> dict:

@@ -32,4 +32,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every catalog module so its queries register."""
-    from kiln.plans import catalog_fit, catalog_model, catalog_prep, catalog_profile, catalog_publish  # noqa: F401
+    from kiln.plans import (catalog_fit, catalog_model, catalog_prep, catalog_profile, catalog_publish,  # noqa: F401
+                            catalog_store)

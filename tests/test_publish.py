@@ -62,7 +62,7 @@ def test_a_taken_number_is_compared_again(spark, rows, monkeypatch):
     got = W.publish(reg, "mine", lambda: fit_linear(rows, ["a"], "y"), rows, "y", min_r2=0.1)
     assert (got["seq"], got["outcome"], got["champion_before"]) == (1, "rejected", "other") and got["r2_old"] == pytest.approx(1.0)
     assert reg.records().count() == 2 and reg.unfinished() == []
-    assert not [n for n in reg._children(f"{reg.folder}/log") if n.startswith(".") and not n.endswith(".crc")]
+    assert not [n for n in reg.files.children("log") if n.startswith(".") and not n.endswith(".crc")]
 
 
 def test_half_staged_models_are_staged_again(spark, rows):
