@@ -238,6 +238,7 @@ def scale_minmax(spark, sf):
 # ------------------------------------------------------------------ E1-E9
 
 from kiln.operators import encode as E  # noqa: E402
+from kiln.operators.sparse import SparseOneHotEncoder  # noqa: E402
 
 NUMERIC_FEATURES = ["brand", "model_year", "accident", "price_usd", "mileage_num", "has_clean_title",
                     "is_sport", "is_premium", "is_4WD_AWD", "engine_hp", "engine_displacement"]
@@ -356,3 +357,23 @@ SELECT category FROM meta WHERE "column" = 'brand' AND category <> '__global_fal
 def known_categories(spark, sf):
     """Sorted known brands from the metadata, fallback row excluded."""
     return E.known_categories(E.TargetEncoder().fit(prepared(spark, sf)).metadata())
+
+
+@register("onehot_sparse", """
+WITH li AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_partkey END AS part, l_returnflag AS flag FROM lineitem),
+v AS (SELECT DISTINCT 0 AS c, part IS NULL AS missing, part, NULL::VARCHAR AS flag FROM li UNION ALL SELECT DISTINCT 1, flag IS NULL, NULL, flag FROM li),
+i AS (SELECT *, row_number() OVER (ORDER BY c, missing, part, flag) - 1 AS rank, row_number() OVER (PARTITION BY c ORDER BY missing, part, flag) AS nth FROM v),
+p AS (SELECT *, rank - c - 1 AS position FROM i WHERE nth > 1),
+s AS (SELECT count(*) AS size FROM p)
+SELECT l_orderkey, l_linenumber, CAST(size AS BIGINT) AS size, CAST(a.position AS BIGINT) AS part_position, CAST(b.position AS BIGINT) AS flag_position
+FROM li CROSS JOIN s LEFT JOIN p a ON a.c = 0 AND a.part IS NOT DISTINCT FROM li.part LEFT JOIN p b ON b.c = 1 AND b.flag IS NOT DISTINCT FROM li.flag""")
+def onehot_sparse(spark, sf):
+    """E1 without a bound on categories: line items by part and return flag; a fifth of the orders has no part."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 5 != 0, F.col("l_partkey")).alias("part"),
+                                             F.col("l_returnflag").alias("flag"))
+    model = SparseOneHotEncoder(["part", "flag"]).fit(li)
+    flags = model.names().filter("column_name = 'flag'").agg(F.min("position")).first()[0]
+    at = F.col("features.positions")
+    return model.transform(li).select("l_orderkey", "l_linenumber", F.col("features.size").alias("size"),
+                                      F.array_min(F.filter(at, lambda x: x < flags)).alias("part_position"),
+                                      F.array_min(F.filter(at, lambda x: x >= flags)).alias("flag_position"))
