@@ -273,9 +273,9 @@ def prefix_before(df: DataFrame, order: Sequence[Column], weights: dict[str, str
         for t in totals:
             offsets[t["_pid"]] = run
             run += t[out]
-        off = F.map_from_arrays(F.array(*[F.lit(p) for p in offsets]), F.array(*[F.lit(v) for v in offsets.values()])) \
-            if offsets else F.create_map()
-        before[out] = (off[F.col("_pid")] + F.coalesce(F.sum(weight).over(w), F.lit(0))).cast("double")
+        off = F.map_from_arrays(F.array(*[F.lit(p) for p in offsets]), F.array(*[F.lit(v) for v in offsets.values()]))[F.col("_pid")] \
+            if offsets else F.lit(0)
+        before[out] = (off + F.coalesce(F.sum(weight).over(w), F.lit(0))).cast("double")
     return ranged.withColumns(before).drop("_pid")
 
 
