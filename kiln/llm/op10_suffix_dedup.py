@@ -8,15 +8,19 @@ anywhere else, in the same document or another.
    the same place. Neighbouring strings mostly share theirs: about two anchors
    for each ``length`` bytes less the gram's. Anchors are counted over the whole corpus
    in packed rows (see ``packed``); strings whose anchor is unique cannot repeat.
-2. Suffix order. For an anchor that occurs again, its context (all strings it
-   is minimal in) goes to the bucket of its gram. Equal contexts are counted as
-   one, which settles groups of copies without comparing their members. The
-   distinct contexts of an anchor are cut into ``SYMBOL``-byte symbols on a
+2. Suffix order. For an anchor that occurs again, the hash of its context (all
+   strings it is minimal in; 128 bits) is counted by Spark before and after a
+   shuffle without the bytes. Equal contexts are one class, which settles groups
+   of copies without comparing their members: a class that occurs again repeats
+   as a whole. Where a gram has several classes, one copy of each class's bytes
+   goes to the bucket of the gram. These distinct contexts are cut into ``SYMBOL``-byte symbols on a
    grid through the anchor, and their suffixes are sorted (see ``lyndon``).
    Every string of ``length`` bytes holds ``WHOLE`` whole symbols, so strings
    that repeat lie where neighbours in that order share so many.
 3. Exact ends. Among suffixes that share ``WHOLE`` symbols, the remaining bytes
-   of the string, before and behind them, are compared, for each offset.
+   of the string, before and behind them, are compared, for each offset. The
+   spans are joined back to the occurrences by class, where adaptive execution
+   splits a hot one; no task needs all occurrences of a passage.
 
 Documents never meet in pairs, and strings never cross documents. Strings are
 judged on the input, not on what is left. Defined results: null and empty texts
@@ -122,11 +126,13 @@ def repeated_anchors(texts: DataFrame, length: int, bits: int) -> DataFrame:
     return by_id(texts.mapInArrow(run, SCHEMA).groupBy("bucket").applyInArrow(again, SCHEMA), "keys")
 
 
-_CONTEXT = "bucket int, gram long, id long, place long, first long, last long, bytes binary"
+_MEMBER = "gram long, high long, low long, id long, first int, strings int, anchor int"
 
 
-def contexts(texts: DataFrame, found: DataFrame, length: int, bits: int) -> DataFrame:
-    """For each repeated anchor: its gram, row, place, first and last string, and the bytes they span."""
+def members(texts: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """One row for each repeated anchor's occurrence, without its bytes: the gram, the class of its context (128 bits
+    of a hash over the bytes, their anchor and their strings), the row, the first string's start in the text, how many
+    strings start in the context, and the anchor's offset in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,16 +147,57 @@ def contexts(texts: DataFrame, found: DataFrame, length: int, bits: int) -> Data
                     live[a:b] = np.isin(h[a:b], keys.values.to_numpy().view(np.uint64))
                 h, text, place, first, last = (x[live] for x in (h, text, place, first, last))
                 raw, base = data.tobytes(), offsets[text]
-                strings = [raw[s:e] for s, e in zip((base + first).tolist(), (base + last + length).tolist())]
-                for i in range(0, len(h), 4000):
+                strings, anchor = (last - first + 1).astype(np.int32), (place - first).astype(np.int32)
+                marks = np.stack([anchor, strings], axis=1).tobytes()
+                digest = b"".join([hashlib.blake2b(raw[s:e], digest_size=16, key=marks[8 * i:8 * i + 8]).digest()
+                                   for i, (s, e) in enumerate(zip((base + first).tolist(), (base + last + length).tolist()))])
+                halves = np.frombuffer(digest, np.int64).reshape(-1, 2)
+                for i in range(0, len(h), 100_000):
+                    k = slice(i, i + 100_000)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x[k]) for x in (h.view(np.int64), halves[:, 0], halves[:, 1], ids[text], first.astype(np.int32), strings, anchor)],
+                        ["gram", "high", "low", "id", "first", "strings", "anchor"])
+
+    return texts.join(found, "id").select("id", "text", "keys").mapInArrow(run, _MEMBER)
+
+
+def classes_of(occurrences: DataFrame) -> DataFrame:
+    """One row for each class: its gram, strings, anchor, how often it occurs, one occurrence (the row and first
+    string), and whether its gram has other classes. Counted before the shuffles, so copies travel as one row a task."""
+    counted = occurrences.groupBy("gram", "high", "low").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "first")).alias("one"), F.min("strings").alias("strings"), F.min("anchor").alias("anchor"))
+    alone = counted.groupBy(F.col("gram").alias("_gram")).agg((F.count(F.lit(1)) > 1).alias("others"))
+    return counted.join(alone, F.col("gram") == F.col("_gram")).drop("_gram")
+
+
+_CONTEXT = "bucket int, gram long, high long, low long, strings int, anchor int, bytes binary"
+
+
+def contexts(texts: DataFrame, classes: DataFrame, length: int, bits: int) -> DataFrame:
+    """The bytes of every class whose gram has other classes, from one of its occurrences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                data, offsets = flat(part.column(0))
+                wanted = part.column(1)
+                begin = wanted.offsets.to_numpy()
+                own = wanted.values.slice(begin[0], begin[-1] - begin[0])
+                first, strings = own.field("first").to_numpy(), own.field("strings").to_numpy()
+                start = offsets[np.repeat(np.arange(part.num_rows), np.diff(begin))] + first
+                raw, gram = data.tobytes(), own.field("gram").to_numpy()
+                bucket = (gram.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int32)
+                for i in range(0, len(own), 4000):
                     k = slice(i, i + 4000)
+                    pieces = [raw[s:e] for s, e in zip(start[k].tolist(), (start[k] + strings[k] - 1 + length).tolist())]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array((h[k] >> np.uint64(64 - bits)).astype(np.int32)), pa.array(h[k].view(np.int64)),
-                         pa.array(ids[text[k]]), pa.array(place[k]), pa.array(first[k]), pa.array(last[k]),
-                         pa.array(strings[k], pa.binary())],
-                        ["bucket", "gram", "id", "place", "first", "last", "bytes"])
+                        [pa.array(bucket[k]), pa.array(gram[k]), *[own.field(c)[i:i + 4000] for c in ("high", "low", "strings", "anchor")],
+                         pa.array(pieces, pa.binary())], ["bucket", "gram", "high", "low", "strings", "anchor", "bytes"])
 
-    return texts.join(found, "id").select("id", "text", "keys").mapInArrow(run, _CONTEXT)
+    wanted = classes.filter("others").groupBy(F.col("one.id").alias("id")).agg(
+        F.collect_list(F.struct("gram", "high", "low", "strings", "anchor", F.col("one.first").alias("first"))).alias("wanted"))
+    # rows with equal id are equal texts: one of them is enough
+    return texts.join(wanted, "id").select("id", "text", "wanted").dropDuplicates(["id"]).select("text", "wanted").mapInArrow(run, _CONTEXT)
 
 
 def repeated_starts(pieces: list[bytes], anchor: np.ndarray, strings: np.ndarray, length: int) -> list[np.ndarray]:
@@ -208,62 +255,51 @@ def repeated_starts(pieces: list[bytes], anchor: np.ndarray, strings: np.ndarray
     return [np.unique(np.array(x, np.int64)) for x in found]
 
 
-def repeated_spans(found: DataFrame, length: int) -> DataFrame:
-    """(id, spans): flat byte ranges of the strings that repeat, from the contexts."""
+def repeated_parts(found: DataFrame, length: int) -> DataFrame:
+    """(high, low, parts): flat byte ranges of the strings that repeat in a class's context among its gram's classes."""
 
     def run(group: pa.Table) -> pa.Table:
-        gram = group.column("gram").to_numpy()
-        place, first, last = (group.column(c).to_numpy() for c in ("place", "first", "last"))
+        gram, strings, anchor = (group.column(c).to_numpy() for c in ("gram", "strings", "anchor"))
         pieces = group.column("bytes").to_pylist()
-        classes: dict[tuple, int] = {}
-        which = np.array([classes.setdefault((g, a, n, p), len(classes)) for g, a, n, p in zip(
-            gram.tolist(), (place - first).tolist(), (last - first).tolist(), pieces)], np.int64)
-        n = np.bincount(which)
-        keys = list(classes)
-        repeated: list[np.ndarray | None] = [None] * len(keys)
-        by_gram: dict[int, list[int]] = {}
-        for c, key in enumerate(keys):
-            by_gram.setdefault(key[0], []).append(c)
+        parts: list[np.ndarray] = [np.zeros(0, np.int64)] * len(pieces)
+        order = np.argsort(gram, kind="stable")
+        cuts = np.flatnonzero(np.diff(gram[order])) + 1
         bundle: list[int] = []
 
         def settle() -> None:
-            got = repeated_starts([keys[c][3] for c in bundle], np.array([keys[c][1] for c in bundle]),
-                                  np.array([keys[c][2] + 1 for c in bundle]), length)
+            got = repeated_starts([pieces[c] for c in bundle], anchor[bundle], strings[bundle], length)
             for c, starts in zip(bundle, got):
-                repeated[c] = starts
+                mask = np.zeros(strings[c], bool)
+                mask[starts] = True
+                a, b = runs(mask)
+                parts[c] = np.stack([a, b - 1 + length], axis=1).ravel()
             bundle.clear()
 
         size = 0
-        for own in by_gram.values():
-            # one context that is alone but occurs often needs no order; it repeats as a whole
-            if len(own) == 1:
-                continue
-            bundle += own
-            size += sum(len(keys[c][3]) // SYMBOL + 1 for c in own)
+        for own in np.split(order, cuts):
+            bundle += own.tolist()
+            size += sum(len(pieces[c]) // SYMBOL + 1 for c in own)
             if size >= BUNDLE:
                 settle()
                 size = 0
         if bundle:
             settle()
-        low, high = [], []
-        for c in range(len(keys)):
-            strings = keys[c][2] + 1
-            mask = np.zeros(strings, bool)
-            if n[c] > 1:
-                mask[:] = True
-            elif repeated[c] is not None:
-                mask[repeated[c]] = True
-            a, b = runs(mask)
-            low.append(a)
-            high.append(b - 1 + length)
-        ids = group.column("id").to_numpy()
-        spans = [np.stack([low[c] + f, high[c] + f], axis=1).ravel() for c, f in zip(which.tolist(), first.tolist())]
-        some = [i for i, s in enumerate(spans) if len(s)]
-        return pa.table({"id": pa.array(ids[some], pa.int64()),
-                         "spans": pa.array([spans[i] for i in some], pa.list_(pa.int64()))})
-
-    return (found.groupBy("bucket").applyInArrow(run, "id long, spans array<long>")
-            .groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+        some = np.array([i for i, p in enumerate(parts) if len(p)], np.int64)
+        return pa.table({"high": group.column("high").to_numpy()[some], "low": group.column("low").to_numpy()[some],
+                         "parts": pa.array([parts[i] for i in some], pa.list_(pa.int64()))})
+
+    return found.groupBy("bucket").applyInArrow(run, "high long, low long, parts array<long>")
+
+
+def repeated_spans(occurrences: DataFrame, classes: DataFrame, parts: DataFrame, length: int) -> DataFrame:
+    """(id, spans): flat byte ranges of the strings that repeat. A class that occurs again repeats as a whole, the
+    others where their gram's classes share strings."""
+    whole = F.array(F.lit(0).cast("long"), (F.col("strings") - 1 + length).cast("long"))
+    found = (classes.filter("n > 1").select("high", "low", whole.alias("parts"))
+             .unionByName(parts.join(classes.filter("n = 1 AND others").select("high", "low"), ["high", "low"])))
+    spans = occurrences.select("high", "low", "id", "first").join(found, ["high", "low"]).select(
+        "id", F.transform("parts", lambda x: x + F.col("first")).alias("spans"))
+    return spans.groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def repeats(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
@@ -272,7 +308,10 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFra
     texts = _keyed(docs, id_col, text_col)
     bits = bucket_bits(texts, "text", 12_000_000)
     found = stored(repeated_anchors(texts, length, bits))
-    return stored(repeated_spans(contexts(texts, found, length, bits + 3), length))  # contexts take more room than keys
+    occurrences = stored(members(texts, found, length))
+    classes = stored(classes_of(occurrences))
+    parts = repeated_parts(contexts(texts, classes, length, bits + 3), length)  # contexts take more room than keys
+    return stored(repeated_spans(occurrences, classes, parts, length))
 
 
 def merged(spans: np.ndarray, n: int) -> np.ndarray:

@@ -191,14 +191,40 @@ def test_suffix_dedup_equals_brute_force(spark, docs, rows):
             if seen[b[k:k + length]] > 1:
                 gone[k:k + length] = True
         left = np.frombuffer(b, np.uint8)[~gone].tobytes()
-        want[i] = (len(b), int(gone.sum()), hashlib.sha256(left).hexdigest())
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in op10_suffix_dedup.report(docs, length=length).collect()}
+        n_spans = int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum())
+        want[i] = (len(b), int(gone.sum()), n_spans, hashlib.sha256(left).hexdigest())
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in op10_suffix_dedup.report(docs, length=length).collect()}
     assert got == want
     left = op10_suffix_dedup.suffix_dedup(docs, length=length)
     assert left.columns == docs.columns and left.count() == len(rows)
     assert left.filter("text is not null and n_chars <> length(text)").count() == 0
 
 
+def test_suffix_dedup_of_a_passage_in_very_many_texts(spark):
+    """One passage in a third of the texts at different places, with the same and with other words around it."""
+    r = np.random.default_rng(5)
+    words_ = ["".join(chr(97 + c) for c in r.integers(0, 26, 6)) for _ in range(4000)]
+    some = lambda n: " ".join(r.choice(words_, n))
+    passage, frame_ = some(80), (some(9), some(7))
+    texts = [some(60) for _ in range(240)]
+    texts += [f"{some(int(r.integers(1, 30)))} {passage} {some(5)}" for _ in range(60)] + [f"{frame_[0]} {passage} {frame_[1]}"] * 60
+    texts += [None, "", passage[:399], passage[:400]]
+    data = [(f"row-{i}", t, 1) for i, t in enumerate(texts)] + [("row-1", texts[1], 1), (None, None, 2)]
+    df = spark.createDataFrame(data, "doc_id string, text string, spans int")
+    seen = Counter(t.encode()[k:k + 400] for _, t, _ in data if t for k in range(len(t.encode()) - 399))
+    want = Counter()
+    for i, t, _ in data:
+        b, gone = (t or "").encode(), np.zeros(len((t or "").encode()), bool)
+        for k in range(len(b) - 399):
+            if seen[b[k:k + 400]] > 1:
+                gone[k:k + 400] = True
+        want[i, len(b), int(gone.sum()), int(gone.any()), hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()] += 1
+    out = op10_suffix_dedup.report(df.repartition(6))
+    assert Counter(tuple(x) for x in out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()) == want
+    assert op10_suffix_dedup.report(df.filter("spans > 5")).count() == 0
+    assert op10_suffix_dedup.suffix_dedup(df).columns == df.columns
+
+
 def test_decontamination_equals_brute_force(spark, docs, rows):
     items = [(1, rows[10][1]), (2, "ONE"), (3, None), (4, ""), (5, " ".join(words(rows[20][1])[:12])), (5, "one"), (None, "w1 w2")]
     bench = spark.createDataFrame(items, "item_id long, text string")
