@@ -398,7 +398,53 @@ def test_extraction(spark):
     other = op04_extract.aligned(wrapper, op04_extract._tokens("<a> (#)? (<b> #)+ </a>"))
     assert op04_extract.written(other) == "<a> (#)? ((<b> #)+)? </a> (<hr>)?"
     assert op04_extract._tokens(op04_extract.written(other)) == other
-    assert op04_extract.folded("<li> # <li> # <li> # </ul>".split()) == ["(<li> #)+", "</ul>"]
+    assert op04_extract.folded("<li> # <li> # <li> # </ul>".split()) == (
+        ["(<li> #)+", "</ul>"], [(0, 0), (0, 1)] * 3 + [(1, 0)])
+    assert op04_extract.folded("<a> # # <a> # # # <b>".split()) == (
+        ["(<a> (#)+)+", "#", "<b>"], [(0, 0), (0, 1), (0, 1), (0, 0), (0, 1), (0, 1), (1, 0), (2, 0)])
+    assert op04_extract.matched("<a> </a>", "<a> (#)? </a>") == [0, 2]
+    assert op04_extract.matched("# </a>", "(#)? (<b>)? # </a>") == [2, 3]
+    assert op04_extract.matched("# </a>", "(#)+ </a>") == [0, 1] and op04_extract.matched("<x> #", "# <b>") == [-1, 0]
+    assert op04_extract.extracted(spark.createDataFrame(rows[:0], "page_id long, url string, html string")).count() == 0
+
+
+def test_extraction_takes_what_varies(spark):
+    """No element or class says what is the article: places with one text on all pages are the template's."""
+    def page(i, promo=""):
+        body = "".join(f"<p>text {i} {k} of the story</p>" for k in range(1 + i % 3))
+        return f"<body><div><p>Welcome to our site, the best of all sites there are</p></div>{promo}<div><h2>Story {i}</h2>{body}" \
+               "<p><b>Read more stories</b></p><section>All rights reserved</section></div></body>"
+
+    def expected(i):
+        return "\n".join([f"Story {i}"] + [f"text {i} {k} of the story" for k in range(1 + i % 3)])
+
+    rows = [(i, "https://h.example/", page(i, "<section>Buy now, buy here</section>" if i % 2 else "")) for i in range(12)]
+    rows += [(100 + i, f"https://few{i}.example/", page(i)) for i in range(2)]
+    rows += [(200 + i, "https://copies.example/", page(1)) for i in range(9)]
+    rows += [(300, "https://h.example/", None), (301, None, "<p>alone</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in op04_extract.extracted(pages).collect()}
+    assert all(got[i] == expected(i) for i in range(12))
+    assert got[300] == "" and got[301] == "alone"
+    # too few pages, or only copies of one page, show no template
+    assert all(got[i].endswith("Read more stories\nAll rights reserved") for i in (100, 101, *range(200, 209)))
+    hosts = {r["host"]: r for r in op04_extract.wrappers(op04_extract._with_host(pages, "page_id", "url", "html")).collect()}
+    assert hosts["h.example"]["pages"] == 13 and hosts["copies.example"]["pages"] == 9
+    # with another expression the result is another: it decides what is taken
+    r = hosts["h.example"]
+    numbers = op04_extract._numbers
+    take, differing = numbers(" ".join(r["take"])), numbers(" ".join(r["differing"]))
+    main = tuple(r["main"].split("/"))
+    assert op04_extract.article(page(4), r["wrapper"], main, take, differing) == got[4]
+    assert op04_extract.article(page(4), "<html> #", main, take, differing) != got[4]
+
+
+def test_extraction_keeps_copied_content_in_articles(spark):
+    def page(i):
+        return f"<body><div>menu</div><article><h1>Same title</h1><p>story {i}</p><section>Same license</section></article></body>"
+    rows = [(i, "https://h.example/", page(i)) for i in range(8)]
+    got = op04_extract.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"Same title\nstory {i}\nSame license" for i in range(8)}
 
 
 def test_chat_trees_and_round_trip(spark):
