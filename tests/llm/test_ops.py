@@ -463,3 +463,15 @@ def test_chat_trees_and_round_trip(spark):
     long = spark.createDataFrame([(7, i, "assistant", str(i)) for i in range(70)], "conv_id long, turn long, role string, text string")
     r = op05_chat.report(op05_chat.chains(long)).first()
     assert r["n_turns"] == 70 and r["loss_chars"] == sum(len(str(i)) for i in range(70))
+
+
+def test_empty_tables_nulls_and_more_columns(spark):
+    labels = spark.createDataFrame([(1, 1, 1), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    # a column named as one of the operators' own, and a document without anything
+    docs = spark.createDataFrame([(1, "abc", "xx", "u"), (1, "abc", "xx", "u"), (2, "", None, None), (None, None, None, None)],
+                                 "doc_id long, text string, lang string, score string")
+    for report in (lambda d: op02_toxicity.report(d, labels), op07_pieces.report, op09_language.report, op10_suffix_dedup.report):
+        assert report(docs.limit(0)).count() == 0
+        assert sorted((r["doc_id"] or 0) for r in report(docs).collect()) == [0, 1, 1, 2]
+    assert op02_toxicity.report(docs, labels.limit(0)).count() == 4
+    assert {r["n_bytes"] for r in op10_suffix_dedup.report(docs).collect()} == {0, 3}
