@@ -6,6 +6,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from kiln.session import ensure_checkpoint_dir
 
@@ -42,3 +43,26 @@ def stored(df: DataFrame) -> DataFrame:
     finally:
         spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(docs: DataFrame, id_col: str) -> DataFrame | None:
+    """(id, number): distinct ids numbered in their order over a range-partitioned sort; None if ids are integers."""
+    if isinstance(docs.schema[id_col].dataType, IntegralType):
+        return None
+    ids = docs.select(col(id_col).alias("id")).filter("id is not null").distinct().orderBy("id")
+    return stored(ids.select("id", F.monotonically_increasing_id().alias("number")))
+
+
+def with_numbers(docs: DataFrame, numbers: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text) with numbers for ids; null ids stay null."""
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
+    return texts.join(numbers, "id", "left").select(F.col("number").alias("id"), "text")
+
+
+def with_ids(found: DataFrame, numbers: DataFrame, *columns: str) -> DataFrame:
+    """``found`` with the ids that the numbers in ``columns`` stand for."""
+    order = found.columns
+    for c in columns:
+        ids = numbers.select(F.col("number").alias(c), F.col("id").alias("given_id"))
+        found = found.join(ids, c, "left").drop(c).withColumnRenamed("given_id", c)
+    return found.select(*order)

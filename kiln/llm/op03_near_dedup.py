@@ -30,6 +30,8 @@ Defined results: texts that are null or have no words have the empty set and
 link with nothing; with fewer words than a shingle the whole sequence is one
 shingle; rows with equal ids are one document; rows with a null id get
 themselves (a null component) and are kept; extra columns are never touched.
+Ids that are not integers (strings, for instance) are given back as they are, in
+their own order; inside they are numbered in that order.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.frames import col, stored
+from kiln.llm.frames import col, numbered, stored, with_ids, with_numbers
 from kiln.llm.graph import components
 from kiln.llm.textbytes import LOWER, NON_SPACE, bound_batches, inside_one_text, mix, slices, window_hashes, words_of
 
@@ -281,6 +283,10 @@ def _large_rest(placed: DataFrame, texts: DataFrame, shingle: int, percent: int)
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """(id, n_shingles, component) for every row of ``docs``; component is the smallest linked id."""
+    numbers = numbered(docs, id_col)
+    if numbers is not None:
+        found = near_duplicates(with_numbers(docs, numbers, id_col, text_col), "id", "text", shingle, percent)
+        return with_ids(found, numbers, "id", "component")
     rows = stored(sketched(docs, id_col, text_col, shingle))
     texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
     known = rows.filter("n > 0 and id is not null")
@@ -316,7 +322,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     name = "__gone__"
     while name in docs.columns:
         name += "_"
-    return docs.join(gone.withColumnRenamed("id", name), col(id_col).cast("long") == F.col(name), "left_anti")
+    return docs.join(gone.withColumnRenamed("id", name), col(id_col).cast(gone.schema["id"].dataType) == F.col(name), "left_anti")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -17,7 +17,8 @@ distinct window with its smallest document, never as pairs of documents.
 Windows are judged on the input, not on what is left. Defined results: null or
 wordless texts have no words; rows with a null id neither remove nor lose
 words; rows with equal ids don't remove each other's words; extra columns are
-not touched. Hashes are 64-bit.
+not touched; ids that are not integers are compared in their own order and given
+back as they are. Hashes are 64-bit.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.frames import col, stored
+from kiln.llm.frames import col, numbered, stored, with_ids, with_numbers
 from kiln.llm.packed import SCHEMA, Packer, answers, bucket_bits, by_id, key_of, unpack, whole_key
 from kiln.llm.textbytes import Words, bound_batches, covered, inside_one_text, runs, slices, window_hashes, words_of
 
@@ -122,6 +123,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
             keep_text: bool = True) -> DataFrame:
     """Per row: id, n_words, n_removed, spans (flat word ranges of the maximal
     repeats), kept_sha256 and, if asked for, kept_text (words joined by one space)."""
+    numbers = numbered(docs, id_col)
+    if numbers is not None:
+        return with_ids(repeats(with_numbers(docs, numbers, id_col, text_col), "id", "text", window, keep_text), numbers, "id")
     bound_batches(docs.sparkSession)
     texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
     bits = bucket_bits(texts, "text")

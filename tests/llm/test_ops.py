@@ -475,3 +475,16 @@ def test_empty_tables_nulls_and_more_columns(spark):
         assert sorted((r["doc_id"] or 0) for r in report(docs).collect()) == [0, 1, 1, 2]
     assert op02_toxicity.report(docs, labels.limit(0)).count() == 4
     assert {r["n_bytes"] for r in op10_suffix_dedup.report(docs).collect()} == {0, 3}
+
+
+def test_string_ids_give_what_integers_give(spark, docs):
+    def name(i):
+        return None if i is None else f"doc/{i:06d}"
+
+    named = docs.select(F.when(F.col("doc_id").isNotNull(), F.format_string("doc/%06d", "doc_id")).alias("doc_id"), "text")
+    assert near_found(named) == {name(i): (n, name(c)) for i, (n, c) in near_found(docs).items()}
+    kept = op03_near_dedup.near_dedup(docs, shingle=2)
+    assert {r["doc_id"] for r in op03_near_dedup.near_dedup(named, shingle=2).collect()} == {name(r["doc_id"]) for r in kept.collect()}
+    cut = [(name(r["doc_id"]), *r[1:]) for r in op06_substring_dedup.report(docs).collect()]
+    assert sorted(map(str, map(tuple, op06_substring_dedup.report(named).collect()))) == sorted(map(str, cut))
+    assert any(r[2] for r in cut)
