@@ -5,8 +5,9 @@ value) pairs, ordered by column and value (nulls last), are numbered by a
 distributed prefix sum. A column's first category has no position
 (``drop_first``), as in the dense form, and unseen categories have none either.
 Transforming joins each column to its part of the index; small parts are
-broadcast by Spark according to their bytes, large ones shuffle, where adaptive
-execution splits hot values.
+broadcast, large ones shuffle, where adaptive execution splits hot values. The
+position of the missing category is known to every task: missing values are
+spread over the tasks of the join.
 """
 
 from __future__ import annotations
@@ -52,7 +53,10 @@ class SparseOneHotEncoder(Estimator):
         index = ranked.withColumn("position", F.col("rank") - less)
         if self.drop_first:
             index = index.filter(~first)
-        return SparseOneHotModel(cols, start - sum(dropped), ParamTable(index.drop("rank"), ["c"]))
+        table = ParamTable(index.drop("rank"), ["c"])
+        nulls = {r["c"]: r["position"] for r in table.df.filter("missing").select("c", "position").collect()}  # at most a row a column
+        return SparseOneHotModel(cols, start - sum(dropped), table, [sizes.get(i, 0) for i in range(len(cols))],
+                                 [nulls.get(i) for i in range(len(cols))])
 
 
 @dataclass
@@ -60,6 +64,8 @@ class SparseOneHotModel(Model):
     columns: list
     size: int
     index: ParamTable
+    counts: list  # categories of each column
+    nulls: list  # position of each column's missing category, if it has one
 
     def transform(self, df: DataFrame, into: str = "features") -> DataFrame:
         """Sources dropped; ``into``: struct of size, positions (ascending) and values, as a sparse vector holds them."""
@@ -70,8 +76,15 @@ class SparseOneHotModel(Model):
         row = df.select(F.struct(*kept).alias("_kept"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(self.columns)]) \
             if kept else df.select(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(self.columns)])
         for i in range(len(self.columns)):
-            part = self.index.df.filter(F.col("c") == i).select(F.col(f"v{i}").alias(f"_k{i}"), F.col("position").alias(f"_p{i}"))
-            row = row.join(part, F.col(f"_v{i}").eqNullSafe(F.col(f"_k{i}")), "left").drop(f"_k{i}")
+            v, k = F.col(f"_v{i}"), F.col(f"_k{i}")
+            part = self.index.df.filter((F.col("c") == i) & ~F.col("missing")).select(F.col(f"v{i}").alias(f"_k{i}"), F.col("position").alias(f"_f{i}"))
+            if self.counts[i] <= ParamTable.COLLECT_MAX_ROWS:
+                row = row.join(F.broadcast(part), v == k, "left")
+            else:  # rows without a value find nothing; a number of their own keeps them from meeting in one task
+                row = row.withColumn("_s", F.when(v.isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64(v)))
+                row = row.join(part.withColumn("_t", F.xxhash64(k)), (v == k) & (F.col("_s") == F.col("_t")), "left").drop("_s", "_t")
+            own = F.when(v.isNull(), F.lit(self.nulls[i]).cast("long")).otherwise(F.col(f"_f{i}"))
+            row = row.withColumn(f"_p{i}", own).drop(f"_k{i}", f"_f{i}")
         positions = F.array_compact(F.array(*[F.col(f"_p{i}") for i in range(len(self.columns))]))
         features = F.struct(F.lit(self.size).cast("long").alias("size"), positions.alias("positions"),
                             F.transform(positions, lambda _: F.lit(1.0)).alias("values")).alias(into)
