@@ -430,7 +430,8 @@ def score_stream_available_now(spark, sf):
 def custom_step(spark, sf):
     """A user-supplied step (vehicle age from the declared current year 2024)."""
     step = CustomStep(lambda df: df.withColumn("vehicle_age", F.lit(2024) - F.col("model_year")))
-    return step.fit(featured(spark, sf)).transform(featured(spark, sf)).select("listing_id", "vehicle_age")
+    df = featured(spark, sf)
+    return step.fit(df).transform(df).select("listing_id", "vehicle_age")
 
 
 @register("entry_flow")
