@@ -8,7 +8,7 @@ semantics as a regex ``search``). Everything compiles to one chained
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -90,6 +90,15 @@ def contains(c: Column, pattern: str, ignore_case: bool = False) -> Column:
     return F.coalesce(c.rlike(p), F.lit(False))
 
 
+def once(c: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(c)`` with ``c`` evaluated once a row.
+
+    A chain of rules written out over ``c`` evaluates it again in every branch, and the chains of several
+    columns make one generated method too large for the JVM to compile.
+    """
+    return F.transform(F.array(c), fn)[0]
+
+
 def first_match(c: Column, rules: Sequence[tuple[str, str | None]],
                 default: Column | str | None = None, ignore_case: bool = False,
                 null_label: str | None = None) -> Column:
@@ -97,11 +106,15 @@ def first_match(c: Column, rules: Sequence[tuple[str, str | None]],
 
     ``default`` is used when the value is present but no rule matches.
     """
-    expr = F.when(c.isNull(), F.lit(null_label))
-    for pattern, label in rules:
-        expr = expr.when(contains(c, pattern, ignore_case), F.lit(label))
     dflt = default if isinstance(default, Column) else F.lit(default)
-    return expr.otherwise(dflt)
+
+    def chain(x: Column) -> Column:
+        expr = F.when(x.isNull(), F.lit(null_label))
+        for pattern, label in rules:
+            expr = expr.when(contains(x, pattern, ignore_case), F.lit(label))
+        return expr.otherwise(dflt)
+
+    return once(c, chain)
 
 
 def junk_to_null(c: Column, tokens: Iterable[str]) -> Column:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from kiln.functions import text as T
 from kiln.operators.base import Transformer, replace_columns
-from kiln.session import ensure_parallelism
 
 
 @dataclass(frozen=True)
@@ -51,7 +50,6 @@ class Cleaner(Transformer):
     rules: Sequence[ColumnRule] = field(default_factory=default_rules)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        df = ensure_parallelism(df)
         have = set(df.columns)
         new, drop = {}, []
         for r in self.rules:

@@ -33,6 +33,24 @@ def _mode_sources(df: DataFrame, color_columns, mode_of: str) -> dict:
     return out
 
 
+def _with_normalized(df: DataFrame, color_columns) -> DataFrame:
+    """``df`` with its normalised texts and the engine's fuel as ``_n_`` columns.
+
+    Each is a column of an earlier projection: inside one projection every rule of a first match
+    and every use of a text would normalise it again.
+    """
+    have = set(df.columns)
+    texts = {f"_n_{c}": T.color_text(F.col(c)) for c in color_columns if c in have}
+    texts |= {"_n_transmission": R.normalize_lower(F.col("transmission"))} if "transmission" in have else {}
+    texts |= {"_n_engine": F.trim(F.col("engine"))} if "engine" in have else {}
+    if not texts:
+        return df
+    junk = {"_n_transmission": R.JUNK_TRANSMISSION_TOKENS, "_n_engine": R.JUNK_ENGINE_TOKENS}
+    cur = df.withColumns(texts)
+    cur = cur.withColumns({n: R.junk_to_null(F.col(n), junk.get(n, R.JUNK_COLOR_TOKENS)) for n in texts})
+    return cur.withColumn("_n_fuel", T.fuel_family(F.col("_n_engine"))) if "engine" in have else cur
+
+
 def fit_modes(df: DataFrame, color_columns=COLOR_COLUMNS, mode_of: str = "raw") -> dict:
     """Deterministic mode (ties -> smallest) per fallback column."""
     src = _mode_sources(df, color_columns, mode_of)
@@ -68,9 +86,14 @@ class FeatureEngineer(Estimator):
             m = self.fit(df)
             return m.transform(df), m
         open_model = FeatureModel(self.color_columns, None, self.mode_of)
-        hidden = {f"_mode_src_{k}": e for k, e in _mode_sources(df, self.color_columns, self.mode_of).items()}
-        hidden.update({"_n_transmission": T.normalize_transmission(F.col("transmission"))}
-                      if "transmission" in df.columns else {})
+        have = set(df.columns)
+        hidden = {}
+        for c in [*self.color_columns, "transmission"]:
+            if c in have:
+                n = F.col(f"_n_{c}")
+                bucket = T.transmission_family(n, default=None) if c == "transmission" else T.color_family(n)
+                hidden[f"_mode_src_{c}"] = n if self.mode_of == "raw" else bucket
+        hidden.update({"_n_transmission": F.col("_n_transmission")} if "transmission" in have else {})
         base = materialize(open_model.transform(df, fill=False, extra=hidden), how)
         srcs = [k for k in hidden if k.startswith("_mode_src_")]
         modes = {k[len("_mode_src_"):]: v for k, v in column_modes(base, {k: F.col(k) for k in srcs}).items()} if srcs else {}
@@ -92,7 +115,8 @@ class FeatureModel(Model):
         else:
             modes = None
         have = set(df.columns)
-        new, drop = {}, []
+        df = _with_normalized(df, self.color_columns)
+        new, drop = {}, [c for c in df.columns if c not in have and c not in (extra or {})]
         if "model" in have:
             m = F.col("model")
             new["is_sport"] = T.keyword_flag(m, R.SPORT_PATTERN)
@@ -101,23 +125,23 @@ class FeatureModel(Model):
             drop.append("model")
         for c in self.color_columns:
             if c in have:
-                bucket = T.color_bucket(F.col(c))
+                bucket = T.color_family(F.col(f"_n_{c}"))
                 new[c] = F.coalesce(bucket, F.lit(modes.get(c))) if modes is not None else bucket
         if "accident" in have:
             new["accident"] = T.accident_flag(F.col("accident"))
         if "transmission" in have:
             if modes is not None:
                 dflt = modes.get("transmission") or R.TRANSMISSION_DEFAULT
-                new["transmission_type"] = T.transmission_bucket(F.col("transmission"), default=dflt)
+                new["transmission_type"] = T.transmission_family(F.col("_n_transmission"), default=dflt)
             else:
-                new["transmission_type"] = T.transmission_bucket(F.col("transmission"), default=None)
+                new["transmission_type"] = T.transmission_family(F.col("_n_transmission"), default=None)
             drop.append("transmission")
         if "engine" in have:
-            e = F.col("engine")
-            new["engine_hp"] = T.engine_hp(e)
-            new["engine_displacement"] = T.engine_displacement(e)
+            e, fuel = F.col("_n_engine"), F.col("_n_fuel")
+            new["engine_hp"] = T.extract_number(e, R.HP_PATTERN)
+            new["engine_displacement"] = T.displacement_of(e, fuel)
             if "fuel_type" in have:
-                new["fuel_type"] = F.coalesce(F.col("fuel_type"), T.engine_fuel(e))
+                new["fuel_type"] = F.coalesce(F.col("fuel_type"), fuel)
             drop.append("engine")
         new.update(extra or {})
         return replace_columns(df, new, drop)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.session import ensure_parallelism, table
+from kiln.session import spread, table
 
 
 def _s(c: Column) -> Column:
@@ -31,7 +31,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty raw listings keyed by ``listing_id`` (see FIXTURES.md §3)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    j = ensure_parallelism(o.join(p, o.o_custkey == p.p_partkey))
+    # part grows with the data, so it never goes through the driver; several even partitions a core, since rows are costly from here on
+    j = o.join(p.hint("merge"), o.o_custkey == p.p_partkey).repartition(spread(o))
     k, c, s = F.col("o_orderkey"), F.col("o_custkey"), F.col("p_size")
     t = F.floor(F.col("o_totalprice")).cast("bigint")
     ev = (c % 40) == 0

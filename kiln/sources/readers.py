@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
+from kiln.session import ensure_parallelism
 from kiln.sources.csvsplit import read_csv_split
 from kiln.sources.spec import SYSTEM_ID_COLUMN, raw_schema
 
@@ -27,9 +28,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, q
     ranges, records written once to the checkpoint folder) unless ``quoted_lines`` is off (one lazy, splittable scan)."""
     if quoted_lines:
         return read_csv_split(spark, path, schema or raw_schema())
-    return (spark.read.schema(schema or raw_schema())
-            .option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-            .csv(path))
+    return ensure_parallelism(spark.read.schema(schema or raw_schema())
+                              .option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+                              .csv(path))
 
 
 def read_documents(spark: SparkSession, spec: Mapping) -> DataFrame:
@@ -42,7 +43,7 @@ def read_documents(spark: SparkSession, spec: Mapping) -> DataFrame:
         for k, v in spec.get("options", {}).items():
             reader = reader.option(k, v)
         return reader.option("collection", spec["collection"]).load()
-    return spark.read.schema(schema).json(spec["path"])
+    return ensure_parallelism(spark.read.schema(schema).json(spec["path"]))
 
 
 def drop_system_id(df: DataFrame) -> DataFrame:
