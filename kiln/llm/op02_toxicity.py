@@ -7,8 +7,9 @@ a lattice: each sign may stand for itself, for the letters it looks like, for
 any letter (wildcards) or for nothing (separators, repetitions), at a cost.
 Source. A character 4-gram model (27 signs, interpolated down to unigrams) is
 counted over all documents. Viterbi search through the lattice finds the most
-likely letters (a beam only bounds the cost of the exact search); spans that show no sign of hiding restore to
-their plain letters without a search. Signs at a word's ends are punctuation
+likely letters (a beam only bounds the cost of the exact search). Three fixed letters in a row leave the model one
+state, so a lattice is searched in the parts between them, and a part met again is not searched again; spans that
+show no sign of hiding restore to their plain letters without a search. Signs at a word's ends are punctuation
 unless they may stand for letters: then both readings are in the lattice. Each
 gap of spaced letters may also be a word edge.
 
@@ -35,6 +36,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -63,6 +65,8 @@ COST = {"lookalike": 1.0, "wildcard": 2.5, "separator": 0.2, "repeat": 0.1, "dou
 BEAM = 2
 #: States from which a step of the search is done on all 27^3 states at once.
 DENSE = 300
+#: Steps of a part whose letters are kept for the next time, and how many such parts.
+PART, PARTS = 16, 50_000
 #: Rounds of thinning near copies in the labelled sample.
 ROUNDS = 8
 
@@ -74,11 +78,27 @@ _EDGE = re.compile(rf"^{_PUNCTUATION}|{_PUNCTUATION}$")
 _SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _HAS_LETTER = re.compile(r"[^\W\d_]")
 
+
+
+class _Folded(dict):
+    """A sign's letters without accents, for ``str.translate``."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = got = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
+        return got
+
+
+_FOLDED = _Folded()
+
 _CODE = np.zeros(256, np.uint32)
 _CODE[0x41:0x5B] = np.arange(1, 27)
 _CODE[0x61:0x7B] = np.arange(1, 27)
 
 
+#: What one sign may stand for: letters, nothing or a word edge, with their cost.
+Step = tuple[tuple[str, float], ...]
+
+
 class CharModel:
     """Interpolated character 4-gram model over a-z and the word edge."""
 
@@ -91,22 +111,63 @@ class CharModel:
         cost = (-np.log(p)).astype(np.float32).reshape(27 ** 3, 27)
         self.cost = cost.tolist()
         self.dense = cost.astype(np.float64).reshape(27, 729, 27)
+        self.parts: dict[tuple[int, bool, tuple[Step, ...]], str] = {}
 
-    def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
+    def decode(self, lattice: list[Step]) -> str:
         """Letters of the cheapest path; each step offers letters, nothing or a word edge (a space) with their cost."""
-        if all(len(step) < 6 for step in lattice):  # without wildcards there are few states
-            return self._decode(lattice, 0, math.inf)[1]
-        most, text, whole = self._decode(lattice, BEAM, math.inf)
-        return text if whole else self._decode(lattice, 0, most + 1e-6)[1]
+        out: list[str] = []
+        part: list[Step] = []  # from a step with a choice to the third fixed letter in a row behind one
+        start = context = fixed = 0  # letters before the part, and before this step as far as they are fixed
+        for step in lattice:
+            letter = step[0][0] if len(step) == 1 else " "
+            if not letter:  # costs the same on every path
+                continue
+            if letter == " ":
+                if not part:
+                    start = context
+                part.append(step)
+                fixed = 0
+                continue
+            context = (context * 27 + ord(letter) - 96) % 19683
+            if not part:
+                out.append(letter)
+                continue
+            part.append(step)
+            fixed += 1
+            if fixed == 3:
+                out.append(self._part(start, part, False))
+                part = []
+        if part:
+            out.append(self._part(start, part, True))
+        return "".join(out)
+
+    def _part(self, start: int, part: list[Step], end: bool) -> str:
+        """Letters of the cheapest path through a part, to a word edge if it is the lattice's end."""
+        if len(part) > PART:
+            return self._search(start, part, end)
+        key = (start, end, tuple(part))
+        got = self.parts.get(key)
+        if got is None:
+            got = self._search(start, part, end)
+            if len(self.parts) >= PARTS:
+                self.parts.clear()
+            self.parts[key] = got
+        return got
+
+    def _search(self, start: int, part: list[Step], end: bool) -> str:
+        if all(len(step) < 6 for step in part):  # without wildcards there are few states
+            return self._decode(start, part, end, 0, math.inf)[1]
+        most, text, whole = self._decode(start, part, end, BEAM, math.inf)
+        return text if whole else self._decode(start, part, end, 0, most + 1e-6)[1]
 
-    def _decode(self, lattice: list[list[tuple[str, float]]], beam: int, most: float) -> tuple[float, str, bool]:
+    def _decode(self, start: int, lattice: list[Step], end: bool, beam: int, most: float) -> tuple[float, str, bool]:
         """Cost and letters of the cheapest path, and whether no state was left out but those that cost over ``most``."""
-        states = {0: (0.0, "")}
+        states = {start: (0.0, "")}
         whole = True
         ahead = list(accumulate((min(price for _, price in step) for step in lattice[::-1]), initial=0.0))[::-1]
         for k, step in enumerate(lattice):
             if not beam and len(states) > DENSE:
-                return 0.0, self._decode_dense(states, lattice[k:]), True
+                return 0.0, self._decode_dense(states, lattice[k:], end), True
             bound = most - ahead[k + 1]
             following: dict[int, tuple[float, str]] = {}
             for context, (spent, text) in states.items():
@@ -130,9 +191,9 @@ class CharModel:
                 whole = False
                 following = dict(sorted(following.items(), key=lambda kv: (kv[1][0], kv[1][1]))[:beam])
             states = following
-        return *min((spent + self.cost[context][0], text) for context, (spent, text) in states.items()), whole
+        return *min((spent + (self.cost[context][0] if end else 0.0), text) for context, (spent, text) in states.items()), whole
 
-    def _decode_dense(self, states: dict[int, tuple[float, str]], lattice: list[list[tuple[str, float]]]) -> str:
+    def _decode_dense(self, states: dict[int, tuple[float, str]], lattice: list[Step], end: bool) -> str:
         """The rest of the search, each step on all states at once."""
         spent = np.full(19683, np.inf)
         for context, (total, _) in states.items():
@@ -163,7 +224,7 @@ class CharModel:
             best[stay] = spent[stay] + options.get("", np.inf)
             taken.append((oldest, stay, edge))
             spent = best
-        at = int((spent + self.dense.reshape(19683, 27)[:, 0]).argmin())
+        at = int((spent + self.dense.reshape(19683, 27)[:, 0] if end else spent).argmin())
         out: list[str] = []
         for oldest, stay, edge in reversed(taken):
             if stay[at]:
@@ -197,36 +258,46 @@ def char_counts(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def lattice(span: str) -> list[list[tuple[str, float]]]:
+@lru_cache(maxsize=10_000)
+def _step(sign: str, empty: float) -> Step:
+    """What a sign may stand for, and nothing at the cost ``empty`` if its place allows it."""
+    plain = unicodedata.normalize("NFKD", sign)[:1].lower()
+    options: dict[str, float] = {}
+
+    def offer(letter: str, cost: float) -> None:
+        options[letter] = min(cost, options.get(letter, math.inf))
+
+    if plain in LETTERS and plain:
+        offer(plain, 0.0)
+    for letter in LOOKALIKE.get(sign, LOOKALIKE.get(plain, "")):
+        offer(letter, COST["lookalike"])
+    if sign in WILDCARD:
+        for letter in LETTERS:
+            offer(letter, COST["wildcard"])
+    if sign in SEPARATOR or not options:
+        offer("", COST["separator"] if sign in SEPARATOR else COST["itself"])
+    if empty < math.inf:
+        offer("", empty)
+    return tuple(options.items())
+
+
+def lattice(span: str) -> list[Step]:
     """What each sign of a span may stand for."""
-    steps: list[list[tuple[str, float]]] = []
+    steps: list[Step] = []
     lengths = [len(m[0]) for m in re.finditer(r"(.)\1*", span, re.S) for _ in m[0]]
-    core = [k for k, sign in enumerate(span) if sign.isalnum()]
+    first = next((k for k, sign in enumerate(span) if sign.isalnum()), -1)
+    last = next((k for k in range(len(span) - 1, -1, -1) if span[k].isalnum()), len(span))
     for k, sign in enumerate(span):
-        plain = unicodedata.normalize("NFKD", sign)[:1].lower()
-        options: dict[str, float] = {}
-
-        def offer(letter: str, cost: float) -> None:
-            options[letter] = min(cost, options.get(letter, math.inf))
-
-        if plain in LETTERS and plain:
-            offer(plain, 0.0)
-        for letter in LOOKALIKE.get(sign, LOOKALIKE.get(plain, "")):
-            offer(letter, COST["lookalike"])
-        if sign in WILDCARD:
-            for letter in LETTERS:
-                offer(letter, COST["wildcard"])
-        if sign in SEPARATOR or not options:
-            offer("", COST["separator"] if sign in SEPARATOR else COST["itself"])
-        elif not sign.isalnum() and core and not core[0] < k < core[-1]:  # at an end it may be punctuation
-            offer("", COST["separator"] if lengths[k] > 2 or sign in "!?" and k > core[-1] else COST["itself"])
+        empty = math.inf
+        if not first <= k <= last and all(letter for letter, _ in _step(sign, math.inf)):  # at an end it may be punctuation
+            empty = COST["separator"] if lengths[k] > 2 or sign in "!?" and k > last else COST["itself"]
         if k and sign == span[k - 1]:  # a repeated sign may add nothing
-            offer("", COST["double"] if lengths[k] == 2 else COST["repeat"])
-        steps.append(list(options.items()))
+            empty = min(empty, COST["double"] if lengths[k] == 2 else COST["repeat"])
+        steps.append(_step(sign, empty))
     return steps
 
 
-_GAP = [("", 0.0), (" ", 0.0)]
+_GAP = (("", 0.0), (" ", 0.0))
 
 
 class Restorer:
@@ -247,13 +318,16 @@ class Restorer:
         return got
 
     def _word(self, token: str) -> str:
+        ascii = token.isascii()
+        if ascii and token.isalpha() and not _RUN.search(token):
+            return token.lower()
         plain = _PLAIN.fullmatch(token)
         if plain and not _RUN.search(plain[1]) and _HIDING.isdisjoint(token[:plain.start(1)] + token[plain.end(1):]):
             return plain[1].lower()
-        token = _EDGE.sub("", INVISIBLE.sub("", token))
+        token = _EDGE.sub("", token if ascii else INVISIBLE.sub("", token))
         if not _HAS_LETTER.search(token):
             return ""
-        folded = "".join(c for c in unicodedata.normalize("NFKD", token) if not unicodedata.combining(c)).lower()
+        folded = (token if ascii else token.translate(_FOLDED)).lower()
         if folded.isascii() and folded.isalpha() and not _RUN.search(folded):
             return folded
         if folded.isalpha() and not any(c in LOOKALIKE for c in folded) and not _RUN.search(folded):
@@ -269,7 +343,7 @@ class Restorer:
         key = " ".join(span.split())
         got = self.words.get(key)
         if got is None:
-            folded = "".join(c for c in unicodedata.normalize("NFKD", INVISIBLE.sub("", key)) if not unicodedata.combining(c)).lower()
+            folded = INVISIBLE.sub("", key).translate(_FOLDED).lower()
             steps = lattice("".join(folded.split())) if _HAS_LETTER.search(folded) else []
             got = self.model.decode([x for step in steps for x in (_GAP, step)][1:])
             if len(self.words) >= self.size:
@@ -290,10 +364,11 @@ class Restorer:
         return out
 
 
-def features(word: str) -> set[str]:
+@lru_cache(maxsize=20_000)
+def features(word: str) -> frozenset[str]:
     """A restored word (with edges) and its 4- and 5-grams."""
     edged = f"^{word}$"
-    return {edged} | {edged[i:i + n] for n in (4, 5) for i in range(len(edged) - n + 1)}
+    return frozenset([edged, *[edged[i:i + n] for n in (4, 5) for i in range(len(edged) - n + 1)]])
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, text_col: str, label_id: str,
@@ -344,11 +419,11 @@ def marks_of(sample: DataFrame, model: CharModel, known: dict[str, float], whole
         for batch in batches:
             toxic, clean = Counter(), Counter()
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if known and scorer.of_text(text or ""):
-                    continue
                 words = scorer.restore.word_set(text or "")
-                found = {f"^{w}$" for w in words} if whole else set().union(*map(features, words)) if words else set()
-                (toxic if label == 1 else clean).update(found | {""})
+                if known and any(map(scorer.of_word, words)):
+                    continue
+                found = {"", *[f"^{w}$" for w in words]} if whole else {""}.union(*map(features, words))
+                (toxic if label == 1 else clean).update(found)
             words = list(toxic | clean)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.string()), pa.array([toxic[w] for w in words], pa.int64()),
@@ -375,22 +450,35 @@ class Scorer:
 
     def __init__(self, model: CharModel, marks: dict[str, float], cache: int = 200_000):
         self.restore, self.marks, self.size = Restorer(model), marks, cache
-        self.by_token: dict[str, frozenset[str]] = {}
-
-    def of_token(self, token: str) -> frozenset[str]:
+        self.heads = {mark[:4] for mark in marks if len(mark) < 6 and not (mark[:1] == "^" and mark[-1:] == "$")}
+        self.by_token: dict[str, set[str]] = {}  # only tokens with marks
+        self.unmarked: set[str] = set()
+
+    def of_word(self, word: str) -> set[str]:
+        """Marks among the features of a restored word."""
+        edged = f"^{word}$"
+        if edged in self.marks or self.heads and not self.heads.isdisjoint([edged[i:i + 4] for i in range(len(edged) - 3)]):
+            return features(word) & self.marks.keys()
+        return set()
+
+    def of_token(self, token: str) -> set[str]:
         got = self.by_token.get(token)
         if got is None:
             word = self.restore.word(token)
-            got = frozenset(features(word) & self.marks.keys()) if word else frozenset()
-            if len(self.by_token) >= self.size:
+            got = self.of_word(word) if word else set()
+            if len(self.by_token) + len(self.unmarked) >= self.size:
                 self.by_token.clear()
-            self.by_token[token] = got
+                self.unmarked.clear()
+            if got:
+                self.by_token[token] = got
+            else:
+                self.unmarked.add(token)
         return got
 
     def of_text(self, text: str) -> set[str]:
-        found = set().union(*map(self.of_token, set(text.split())))
+        found = set().union(*map(self.of_token, set(text.split()) - self.unmarked))
         for word in self.restore.spaced(text):
-            found |= features(word) & self.marks.keys()
+            found |= self.of_word(word)
         return found
 
 

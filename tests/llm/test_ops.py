@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -367,6 +368,43 @@ def test_toxicity_restores_hidden_edges_gaps_and_wildcards(monkeypatch):
         assert restore.restored("so a $ t u p i d man") == "so a stupid man"
 
 
+def test_toxicity_searches_each_hidden_part_once(monkeypatch):
+    """Words that end alike share their search; the letters are those of the cheapest of all paths."""
+    counts = np.random.default_rng(3).integers(0, 9, 27 ** 4)
+    model = op02_toxicity.CharModel(counts)
+    searched = []
+    decode = op02_toxicity.CharModel._decode
+    monkeypatch.setattr(op02_toxicity.CharModel, "_decode", lambda self, *a: searched.append(1) or decode(self, *a))
+    restore = op02_toxicity.Restorer(model)
+    r = random.Random(4)
+    stems = {"".join(r.sample("aeilnorst", 5)) for _ in range(200)}
+    ends = {restore.word(f"{stem}heit%%%")[5:] for stem in stems}
+    assert len(ends) == 1 and len(searched) <= 2
+
+    def cheapest(steps):
+        best = None
+        for path in product(*steps):
+            context, cost = 0, 0.0
+            for letter, price in path:
+                cost += price
+                if letter == " " and not context:
+                    break
+                if letter:
+                    code = 0 if letter == " " else ord(letter) - 96
+                    cost += model.cost[context][code]
+                    context = 0 if letter == " " else (context * 27 + code) % 19683
+            else:
+                cost += model.cost[context][0]
+                best = min(best or (cost, path), (cost, path))
+        return "".join(letter for letter, _ in best[1])
+
+    spans = ["m0ron", "i1!abc$tup1d", "b*dword", "abc**xyz1", "aaabbcc0dde", "a.b.c1defgh*", "1abc", "abcd", "4bcdef5hij##"]
+    for span in spans:
+        assert model.decode(op02_toxicity.lattice(span)) == cheapest(op02_toxicity.lattice(span)), span
+    spaced = [x for step in op02_toxicity.lattice("st0pit") for x in (op02_toxicity._GAP, step)][1:]
+    assert model.decode(spaced) == cheapest(spaced)
+
+
 def test_language_held_out(spark):
     r = random.Random(6)
     made = {"xx": "abc", "yy": "mnop", "zz": "uvwé"}
